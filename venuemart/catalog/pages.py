@@ -128,7 +128,7 @@ def listing_table(spark: SparkSession, sf: str) -> DataFrame:
     f"""SELECT concat('d/', c_custkey) AS url, 'now' AS dttm, concat(c_custkey, '.json') AS fname,
   CASE WHEN c_custkey % 4 > 0 THEN round({sql.lon('c_custkey')}, 4) END AS x_coord,
   CASE WHEN c_custkey % 4 > 0 THEN round({sql.lat('c_custkey')}, 4) END AS y_coord,
-  CASE WHEN c_custkey % 3 > 0 THEN concat(c_acctbal::INTEGER, ' руб') END AS avg_check, c_mktsegment AS opening_hours,
+  CASE WHEN c_custkey % 3 > 0 THEN concat(floor(c_acctbal)::BIGINT, ' руб') END AS avg_check, c_mktsegment AS opening_hours,
   concat('ул. ', c_nationkey) AS street_address, 'Москва' AS street_locality,
   CASE WHEN c_custkey % 5 > 0 THEN concat('{{"Еда":', c_custkey % 6, ',"Сервис":', c_custkey % 4, '}}') END AS aspect_stars,
   CASE WHEN c_custkey % 2 > 0 THEN concat(c_name, ' хорошо.', chr(10), 'Дорого. ', c_mktsegment) END AS review
@@ -148,7 +148,7 @@ def detail_fields(spark: SparkSession, sf: str) -> DataFrame:
         F.lit('<div class="col col_img"><script type="text/javascript">var p = new ymaps.Placemark(['), coord(lat("c_custkey")),
         F.lit(", "), coord(lon("c_custkey")), F.lit("], {a: '</div>'});</script></div>"),
     )
-    check = F.concat(F.lit('<div class="row average_check">'), F.round("c_acctbal").cast("int"), F.lit(" руб</div>"))
+    check = F.concat(F.lit('<div class="row average_check">'), F.floor("c_acctbal"), F.lit(" руб</div>"))
     data = F.concat(
         F.lit('<div class="data">'), F.when(key % 3 > 0, check).otherwise(F.lit("")), F.lit('<meta itemprop="openingHours" content="'),
         "c_mktsegment", F.lit('"><meta itemprop="streetAddress" content="ул. '), "c_nationkey",

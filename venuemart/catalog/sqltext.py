@@ -48,13 +48,13 @@ def boxcox_ctes(data: str, value: str, group: str = "'all'") -> str:
     for look in range(4):
         out.append(
             f"llf{look} AS (SELECT g, i, lam, lag(lam) OVER w AS low, lead(lam) OVER w AS high, llf, "
-            f"lag(llf) OVER w AS before, lead(llf) OVER w AS after FROM (SELECT q.g, q.i, q.lam, "
+            f"lag(llf) OVER w AS before, lead(llf) OVER w AS after FROM (SELECT g, i, lam, CASE WHEN isfinite(llf) THEN llf END AS llf FROM (SELECT q.g, q.i, q.lam, "
             f"(q.lam - 1) * avg(lg) - 0.5 * ln(var_pop(CASE WHEN abs(q.lam) < 1e-12 THEN lg "
             f"ELSE (exp(q.lam * lg) - 1) / q.lam END)) AS llf FROM logs JOIN grid{look} q USING (g) "
-            f"GROUP BY q.g, q.i, q.lam) WINDOW w AS (PARTITION BY g ORDER BY i))"
+            f"GROUP BY q.g, q.i, q.lam)) WINDOW w AS (PARTITION BY g ORDER BY i))"
         )
         out.append(
-            f"best{look} AS (SELECT * FROM llf{look} QUALIFY row_number() OVER (PARTITION BY g ORDER BY llf DESC, i) = 1)"
+            f"best{look} AS (SELECT * FROM llf{look} QUALIFY row_number() OVER (PARTITION BY g ORDER BY llf DESC NULLS LAST, i) = 1)"
         )
         if look < 3:
             out.append(

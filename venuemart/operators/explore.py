@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from venuemart.operators.skew import skew_join
-
 
 def value_counts(
     df: DataFrame, column: str, dropna: bool = True, by: str = "count", n: int | None = None, tail: bool = False
@@ -98,7 +96,8 @@ def reassemble(df: DataFrame, key: str, position: str, text: str, glue: str = ".
 def join_missing_columns(wide: DataFrame, narrow: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join on the keys that takes from `wide` only the columns `narrow` lacks."""
     extra = sorted(set(wide.columns) - set(narrow.columns))
-    return skew_join(narrow, wide.select(*keys, *extra), keys).select(*keys, *extra, *[c for c in narrow.columns if c not in keys])
+    others = [c for c in narrow.columns if c not in keys]
+    return narrow.join(wide.select(*keys, *extra), keys).select(*keys, *extra, *others)
 
 
 def map_columns(df: DataFrame, column: str, keys: list[str]) -> DataFrame:

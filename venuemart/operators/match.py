@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venuemart.functions.geo import cell_of, cells_within, haversine
 from venuemart.operators.ids import first_per_key
 from venuemart.operators.skew import skew_join
+from venuemart.session import use_checkpoints
 
 CELL = ["_cx", "_cy", "_cz"]
 GRAM = 3
@@ -36,54 +37,24 @@ def distance_join(left: DataFrame, right: DataFrame, radius: float, x: str = "x_
     return pairs.withColumn("distance", distance).where(F.col("distance") <= radius)
 
 
-def _grams(name: str):
-    """All substrings of up to GRAM characters, each once, and the empty one."""
-    c = F.col(name)
-    size = F.char_length(c)
-    parts = [F.array(F.lit(""))]
-    for n in range(1, GRAM + 1):
-        starts = F.when(size >= n, F.sequence(F.lit(1), size - (n - 1))).otherwise(F.array().cast("array<int>"))
-        parts.append(F.transform(starts, lambda i, n=n: F.substring(c, i, F.lit(n))))
-    return F.array_distinct(F.concat(*parts))
-
+def _substrings(c: Column, n: int) -> Column:
+    """All substrings of n characters."""
+    starts = F.when(F.char_length(c) >= n, F.sequence(F.lit(1), F.char_length(c) - (n - 1)))
+    return F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.substring(c, i, F.lit(n)))
 
-def _longest_grams(name: str):
-    """The substrings of exactly min(GRAM, length) characters."""
-    c = F.col(name)
-    n = F.least(F.char_length(c), F.lit(GRAM))
-    starts = F.sequence(F.lit(1), F.greatest(F.char_length(c) - n + 1, F.lit(1)))
-    return F.array_distinct(F.transform(starts, lambda i: F.substring(c, i, n)))
 
+def _grams(c: Column) -> Column:
+    """All substrings of up to GRAM characters, each once, and the empty one."""
+    return F.array_distinct(F.concat(F.array(F.lit("")), *[_substrings(c, n) for n in range(1, GRAM + 1)]))
 
-def _contained(inner: DataFrame, outer: DataFrame, a: str, b: str, radius: float) -> DataFrame:
-    """Points of `inner` and `outer` within reach of each other where name `a` is part of name `b`.
 
-    If `a` is part of `b`, every gram of `a` is one of `b`. So `a` is looked up under one gram only, the one
-    that the fewest names `b` hold; a name with a gram that no `b` holds has no partner at all and leaves
-    here. Names of a crowded place then meet only if they share a rare gram, not because of the place.
-    """
-    spread = outer.select("*", F.explode(_grams(b)).alias("_gram"))
-    held = outer.select(b).distinct().select(F.explode(_grams(b)).alias("_gram")).groupBy("_gram").agg(
-        F.count(F.lit(1)).alias("_held")
-    )
-    names = inner.select(a).distinct()
-    asked = names.select(a, F.explode(_longest_grams(a)).alias("_gram"))
-    chosen = (
-        skew_join(asked, held, ["_gram"], "left")
-        .groupBy(a)
-        .agg(
-            F.min(F.coalesce("_held", F.lit(0))).alias("_least"),
-            F.min_by("_gram", F.struct("_held", "_gram")).alias("_gram"),
-        )
-        .where("_least > 0")
-        .drop("_least")
-    )
-    anchors = skew_join(inner, chosen, [a])
-    prefix = {c: f"{c}_i" for c in ("x_coord", "y_coord")}
-    near = _with_cells_within(anchors.withColumnsRenamed(prefix), "x_coord_i", "y_coord_i", radius)
-    placed = _with_cell(spread, "x_coord", "y_coord", radius)
-    pairs = skew_join(placed, near, [*CELL, "_gram"]).drop(*CELL, "_gram")
-    return pairs.where(F.contains(F.col(b), F.col(a)))
+def _longest_grams(c: Column) -> Column:
+    """The substrings of min(GRAM, length) characters."""
+    size = F.char_length(c)
+    chosen = _substrings(c, GRAM)
+    for n in range(GRAM - 1, -1, -1):
+        chosen = F.when(size == n, F.array(c)).otherwise(chosen)
+    return chosen
 
 
 def nearest_namesakes(listing: DataFrame, register: DataFrame, radius: float) -> DataFrame:
@@ -91,31 +62,49 @@ def nearest_namesakes(listing: DataFrame, register: DataFrame, radius: float) ->
 
     Best: at most `radius` metres away, one name part of the other, smallest distance, then smallest
     global_id. Copies (same place and name) are merged on both sides first, so they cost one row each.
+
+    If one name is part of another, each of its grams is one of the other's. So every name is looked up on the
+    other side under a single gram: the one that the fewest names there hold. A name with a gram that nobody
+    holds there has no partner to contain it and leaves. Names of a crowded place thus meet only if they share
+    a rare gram, not because of the place. Spark splits what is still skewed (adaptive skew join).
     """
     place = ["x_coord", "y_coord"]
-    titles = listing.select(*place, "title_norm").dropna().distinct()
-    names = register.select("global_id", *place, "Name_norm").dropna().groupBy(*place, "Name_norm").agg(
-        F.min("global_id").alias("global_id")
-    )
-    in_title = _contained(names, titles, "Name_norm", "title_norm", radius).select(
-        "x_coord", "y_coord", "title_norm", "global_id", F.col("x_coord_i").alias("x_r"), F.col("y_coord_i").alias("y_r")
+    titles = listing.select(*place, F.col("title_norm").alias("name")).dropna().distinct()
+    names = register.select("global_id", *place, F.col("Name_norm").alias("name")).dropna()
+    names = names.groupBy(*place, "name").agg(F.min("global_id").alias("global_id"))
+    use_checkpoints(listing.sparkSession)
+    # Side 0 is the listing, side 1 the register. Read four times below, so stored.
+    points = titles.select(F.lit(0).alias("side"), *place, "name", F.lit(None).alias("global_id")).unionByName(
+        names.select(F.lit(1).alias("side"), *place, "name", "global_id")
     )
-    in_name = _contained(titles, names, "title_norm", "Name_norm", radius).select(
-        F.col("x_coord_i").alias("x_coord"),
-        F.col("y_coord_i").alias("y_coord"),
-        "title_norm",
-        "global_id",
-        F.col("x_coord").alias("x_r"),
-        F.col("y_coord").alias("y_r"),
+    points = points.checkpoint()
+
+    known = points.select("side", "name").distinct()
+    held = known.select((1 - F.col("side")).alias("asker"), F.explode(_grams(F.col("name"))).alias("_gram"))
+    held = held.groupBy("asker", "_gram").agg(F.count(F.lit(1)).alias("_held"))
+    asked = known.select(F.col("side").alias("asker"), "name", F.explode(_longest_grams(F.col("name"))).alias("_gram"))
+    rarest = F.min(F.struct(F.coalesce("_held", F.lit(0)).alias("held"), F.col("_gram").alias("gram")))
+    chosen = asked.join(held, ["asker", "_gram"], "left").groupBy("asker", "name").agg(rarest.alias("_rarest"))
+    chosen = chosen.where("_rarest.held > 0").select(F.col("asker").alias("side"), "name", F.col("_rarest.gram").alias("_gram"))
+
+    part = points.join(chosen, ["side", "name"]).withColumnsRenamed({c: f"{c}_p" for c in points.columns})
+    part = _with_cells_within(part.withColumn("side", 1 - F.col("side_p")), "x_coord_p", "y_coord_p", radius)
+    whole = _with_cell(points, *place, radius).withColumn("_gram", F.explode(_grams(F.col("name"))))
+    pairs = whole.join(part, ["side", *CELL, "_gram"]).where(F.contains(F.col("name"), F.col("name_p")))
+
+    listed = F.col("side") == 0
+    pairs = pairs.select(
+        *[F.when(listed, F.col(c)).otherwise(F.col(f"{c}_p")).alias(c) for c in (*place, "name")],
+        *[F.when(listed, F.col(f"{c}_p")).otherwise(F.col(c)).alias(f"{c}_r") for c in place],
+        F.coalesce("global_id", "global_id_p").alias("global_id"),
     )
-    distance = haversine(F.col("x_r"), F.col("y_r"), F.col("x_coord"), F.col("y_coord"))
-    pairs = in_title.unionByName(in_name).withColumn("distance", distance).where(F.col("distance") <= radius)
-    best = first_per_key(pairs, [*place, "title_norm"], [F.col("distance"), F.col("global_id")])
-    return best.select(*place, "title_norm", "global_id", "distance")
+    distance = haversine(F.col("x_coord_r"), F.col("y_coord_r"), F.col("x_coord"), F.col("y_coord"))
+    pairs = pairs.withColumn("distance", distance).where(F.col("distance") <= radius)
+    best = first_per_key(pairs, [*place, "name"], [F.col("distance"), F.col("global_id")])
+    return best.select(*place, F.col("name").alias("title_norm"), "global_id", "distance")
 
 
 def match_listing(listing: DataFrame, register: DataFrame, radius: float = 300.0) -> DataFrame:
     """Listing rows that have a namesake nearby, with its `global_id` and `distance`."""
     best = nearest_namesakes(listing, register, radius)
-    keys = ["x_coord", "y_coord", "title_norm"]
-    return skew_join(listing, best, keys).select(*listing.columns, "global_id", "distance")
+    return listing.join(best, ["x_coord", "y_coord", "title_norm"]).select(*listing.columns, "global_id", "distance")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from venuemart.functions.text import map_values_of, tokens
 from venuemart.lexicons import DISH_LEMMAS
-from venuemart.operators.skew import BROADCAST_ROWS, lookup_join, skew_join
+from venuemart.operators.skew import BROADCAST_ROWS, lookup_join
 
 # A lexicon up to this size is written into the plan as literals.
 INLINE_WORDS = 1000
@@ -58,7 +58,7 @@ def with_features(mentions: DataFrame, df: DataFrame, keys: list[str], features:
     """Left join of row features to mentions; a repeated key multiplies its mentions."""
     if not features:
         return mentions
-    return skew_join(mentions, df.select(*keys, *features), keys, "left").select(*mentions.columns, *features)
+    return mentions.join(df.select(*keys, *features), keys, "left").select(*mentions.columns, *features)
 
 
 def lemmatise(df: DataFrame, text: str, keys: list[str], lemmas: DataFrame, out: str) -> DataFrame:

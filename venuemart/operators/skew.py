@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key is hot when it holds more than 1/1000 of the rows, so there are never more than 999 hot keys.
-HOT_SHARE = 1000
-# Below this many rows a key fits one task whatever its share.
-HOT_ROWS = 100_000
+# A key is hot above this many rows, ...
+HOT_ROWS = 1_000_000
+# ... and at most this many hot keys, the largest ones, get special care: any other key holds less than 1/1000
+# of the rows.
+HOT_KEYS = 1000
 SALTS = 64
 # Lookup tables up to this many rows are sent to every executor.
 BROADCAST_ROWS = 500_000
@@ -42,15 +43,13 @@ def skew_join(
 
     Hot keys come from the per-key counts (pre-aggregated before their shuffle; pass `counts`, with the keys
     and `n`, if they exist already). Only the dims rows of hot keys are repeated, once per salt. Fact rows
-    with a NULL key, which match nothing, are spread as well.
+    with a NULL key, which match nothing, are spread as well. Facts are read twice (the first time only their
+    keys), so pass a stored table, not a long chain of operators.
     """
     if counts is None:
         counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
-    known = counts.dropna(subset=on)
-    total = known.agg(F.sum("n").alias("total")).scalar()
-    hot = F.broadcast(
-        known.where((F.col("n") > hot_rows) & (F.col("n") * HOT_SHARE > total)).select(*on, F.lit(True).alias("_hot"))
-    )
+    largest = counts.dropna(subset=on).where(F.col("n") > hot_rows).orderBy(F.desc("n"), *on).limit(HOT_KEYS)
+    hot = F.broadcast(largest.select(*on, F.lit(True).alias("_hot")))
     no_key = F.lit(False)
     for key in on:
         no_key = no_key | F.col(key).isNull()

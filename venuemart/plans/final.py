@@ -13,7 +13,7 @@ LISTING_COLUMNS = ["url", "cuisine", "phone", "avg_check", "global_id", "opening
 
 def final_table(register: DataFrame, listing: DataFrame, ratings: DataFrame) -> DataFrame:
     """Register rows with a listing match, their listing fields and rating (0 if not rated)."""
-    rows = skew_join(listing.select(*LISTING_COLUMNS), register.select(*REGISTER_COLUMNS), ["global_id"])
-    rated = skew_join(rows, ratings.select("global_id", "rating"), ["global_id"], "left")
     listing_fields = [c for c in LISTING_COLUMNS if c != "global_id"]
-    return rated.select(*REGISTER_COLUMNS, *listing_fields, F.coalesce("rating", F.lit(0.0)).alias("rating"))
+    rated = register.select(*REGISTER_COLUMNS).join(ratings.select("global_id", "rating"), "global_id", "left")
+    rows = skew_join(listing.select(*LISTING_COLUMNS), rated, ["global_id"])
+    return rows.select(*REGISTER_COLUMNS, *listing_fields, F.coalesce("rating", F.lit(0.0)).alias("rating"))

@@ -10,7 +10,6 @@ from venuemart.functions.text import not_blank, sentences
 from venuemart.functions.urls import resolve_link
 from venuemart.operators.ids import checkpoint_sorted, first_per_key, number_rows
 from venuemart.operators.match import match_listing
-from venuemart.operators.skew import skew_join
 from venuemart.sources.pages import detail_rows, listing_rows
 
 MAIN_COLUMNS = [
@@ -35,7 +34,7 @@ def with_details(listing: DataFrame, details: DataFrame) -> DataFrame:
     The listing's own url, dttm and fname give way to those of the details.
     """
     own = listing.drop("url", "dttm", "fname").withColumnRenamed("link", "url")
-    joined = skew_join(details, own, ["url"])
+    joined = details.join(own, "url")
     return joined.withColumn("link", F.col("url")).withColumn("title_norm", F.lower("title"))
 
 

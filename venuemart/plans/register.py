@@ -10,6 +10,7 @@ from venuemart import lexicons, schemas
 from venuemart.functions.address import with_address_parts
 from venuemart.functions.text import name_norm
 from venuemart.operators.skew import with_group_values
+from venuemart.session import use_checkpoints
 
 
 def flatten_register(raw: DataFrame) -> DataFrame:
@@ -53,5 +54,8 @@ def register_mart(register: DataFrame, strict_reference: bool = False) -> DataFr
     is_array = isinstance(register.schema["PublicPhone"].dataType, T.ArrayType)
     rows = rows.withColumn("PublicPhone", phone_or_null(F.col("PublicPhone"), is_array))
     rows = with_address_parts(rows).withColumn("Name_norm", name_norm(F.col("Name"), strict_reference))
+    # Read three times below; stored once, so the address patterns run once.
+    use_checkpoints(register.sparkSession)
+    rows = rows.checkpoint()
     rows = with_group_values(rows, ["OperatingCompany"], OperatingCompany_count=F.count("Name"))
     return with_group_values(rows, ["Name_norm"], Name_norm_count=F.count("Name_norm"))

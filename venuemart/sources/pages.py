@@ -13,7 +13,6 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from venuemart import schemas
 from venuemart.functions.urls import base_url, cache_key, hash256, resolve_link, strip_slashes
-from venuemart.operators.skew import skew_join
 from venuemart.sources.html import Node, parse_html
 
 STAR = "i-star orange"
@@ -220,13 +219,9 @@ def _with_key(df: DataFrame, url: str) -> DataFrame:
 def frontier(links: DataFrame, cache: DataFrame, limit: int | None = None, link: str = "link", pos: str = "pos"):
     """Links still to be fetched: those without an `ok` cache entry, among the first `limit` by position."""
     wanted = links if limit is None else links.orderBy(pos, link).limit(limit)
-    done = cache.where("ok").select(F.col("key").alias("_key")).distinct().select("_key", F.lit(True).alias("_done"))
-    keyed = _with_key(wanted, link)
-    joined = skew_join(keyed, done.withColumnRenamed("_key", "key"), ["key"], "left")
-    return joined.where("_done is null").select(*keyed.columns)
+    return _with_key(wanted, link).join(cache.where("ok").select("key"), "key", "left_anti").select(*links.columns, "key")
 
 
 def cached(links: DataFrame, cache: DataFrame, link: str = "link") -> DataFrame:
     """Links whose page can be restored from an `ok` cache entry."""
-    done = cache.where("ok").select("key").distinct()
-    return skew_join(_with_key(links, link), done, ["key"])
+    return _with_key(links, link).join(cache.where("ok").select("key"), "key", "left_semi").select(*links.columns, "key")
