@@ -107,7 +107,7 @@ def text_features(spark: SparkSession, sf: str) -> DataFrame:
 def grid_search(spark: SparkSession, sf: str) -> DataFrame:
     """Results table of a cross-validated search."""
     training, _, n = _split(spark, sf)
-    _, results = train.grid_search(training, "doc_id", n, n_components=[20, 50], cs=[0.1, 1.0], folds=4)
+    _, results = train.grid_search(training, "doc_id", n, n_components=[20, 50], cs=[0.1, 1.0], folds=4, parallelism=4)
     return results
 
 
