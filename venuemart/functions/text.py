@@ -11,7 +11,7 @@ from venuemart import lexicons
 
 # Whitespace as in str.split: Unicode blanks and the four ASCII separators.
 BLANK = r"[\s\x1c-\x1f]"
-_DELETED = "(?U)[" + "".join("\\" + c if c in "\\[]^-&" else c for c in lexicons.PUNCTUATION) + r"]|\d+"
+_DELETED = "[" + "".join("\\" + c if c in "\\[]^-&" else c for c in lexicons.PUNCTUATION) + r"\p{Nd}]+"
 
 
 def utrim(c: Column) -> Column:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from venuemart.functions.text import map_values_of, tokens
+from venuemart.functions.text import BLANK, map_values_of, tokens
 from venuemart.lexicons import DISH_LEMMAS
 from venuemart.operators.skew import BROADCAST_ROWS, lookup_join
 
@@ -32,19 +33,21 @@ def find_mentions(
         lexicon = df.sparkSession.createDataFrame(list(lexicon.items()), "lemma string, value string")
     if isinstance(lexicon, dict):
         words = list(lexicon)
-        hits = df.select(*keys, *features, F.filter(tokens(F.col(text)), lambda t: t.isin(words)).alias("_hits"))
+        found = F.filter(F.split(F.col(text), f"(?U){BLANK}+"), lambda t: t.isin(words))
+        hits = df.select(*keys, *features, found.alias("_hits"))
         counted = F.transform(
             F.array_distinct("_hits"),
             lambda w: F.struct(
                 w.alias("lemma"), F.size(F.filter("_hits", lambda h: h == w)).cast("long").alias("count")
             ),
         )
-        found = hits.where(F.size("_hits") > 0).select(*keys, *features, F.explode(counted).alias("_m"))
+        # The outer explode keeps Spark from testing the array, and so computing it, once more beforehand.
+        found = hits.select(*keys, *features, F.explode_outer(counted).alias("_m")).where("_m is not null")
         value = map_values_of(F.col("_m.lemma"), lexicon)
         return found.select(
             *keys, F.lit(aspect).alias("aspect"), value.alias("value"), F.col("_m.count").alias("count"), *features
         )
-    spread = df.select(*keys, F.explode(tokens(F.col(text))).alias("lemma"))
+    spread = df.select(*keys, F.explode_outer(tokens(F.col(text))).alias("lemma"))
     found = (
         lookup_join(spread, lexicon.select("lemma", "value"), ["lemma"])
         .groupBy(*keys, "value")
@@ -68,7 +71,8 @@ def lemmatise(df: DataFrame, text: str, keys: list[str], lemmas: DataFrame, out:
     put together again inside those partitions, so a small table costs no shuffle of tokens.
     """
     spread = df.select(*keys, text).repartition(*keys)
-    words = spread.select(*keys, F.posexplode(tokens(F.col(text))).alias("_pos", "token"))
+    words = spread.select(*keys, F.posexplode_outer(tokens(F.col(text))).alias("_pos", "token"))
+    words = words.where("token is not null")
     looked_up = lookup_join(words, lemmas.select("token", "lemma"), ["token"], "left", BROADCAST_ROWS)
     order = F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("lemma", "token").alias("w"))))
     joined = F.array_join(F.transform(order, lambda p: p["w"]), " ")
@@ -83,8 +87,6 @@ def lemmatise(df: DataFrame, text: str, keys: list[str], lemmas: DataFrame, out:
 
 def lemmatise_with(df: DataFrame, text: str, normal_form, out: str) -> DataFrame:
     """Same with a caller's `normal_form(token) -> lemma`, run in Arrow batches; each distinct token once a batch."""
-    import pandas as pd
-
     @F.pandas_udf("array<string>")
     def run(batches: pd.Series) -> pd.Series:
         known: dict[str, str] = {}

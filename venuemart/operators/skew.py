@@ -75,9 +75,10 @@ def with_group_values(df: DataFrame, keys: list[str], **aggregates: Column) -> D
     map-side partial aggregates) and joined back.
     """
     values = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), *[value.alias(name) for name, value in aggregates.items()]
+        F.count(F.lit(1)).alias("_rows"), *[value.alias(name) for name, value in aggregates.items()]
     )
-    joined = skew_join(df, values.drop("n"), keys, "left", counts=values.select(*keys, "n"))
+    sizes = values.select(*keys, F.col("_rows").alias("n"))
+    joined = skew_join(df, values.drop("_rows"), keys, "left", counts=sizes)
     return joined.select(*df.columns, *aggregates)
 
 

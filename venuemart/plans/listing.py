@@ -57,7 +57,8 @@ def star_aspects(matched: DataFrame) -> DataFrame:
 def split_sentences(df: DataFrame, text: str) -> DataFrame:
     """One row per sentence that is not blank, as written, with its `pos` among all parts of the text."""
     others = [c for c in df.columns if c != text]
-    split = df.select(*others, F.posexplode(sentences(F.col(text))).alias("pos", text))
+    # The outer explode keeps Spark from splitting a text twice to see whether there is anything to explode.
+    split = df.select(*others, F.posexplode_outer(sentences(F.col(text))).alias("pos", text))
     return split.where(not_blank(F.col(text))).select(*df.columns, "pos")
 
 

@@ -25,20 +25,22 @@ class Node:
             yield node
             stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
 
-    def find_all(self, tag: str, cls: str | None = None, deep: bool = True, **attrs: str) -> list["Node"]:
+    def matching(self, tag: str, cls: str | None = None, deep: bool = True, **attrs: str) -> Iterator["Node"]:
         """Elements with the tag, with the class (one of its classes, or all of them as written) and attributes."""
-        found = []
         for node in self.elements() if deep else (c for c in self.children if isinstance(c, Node)):
             if node.tag != tag or any(node.attrs.get(k) != v for k, v in attrs.items()):
                 continue
-            names = node.attrs.get("class", "").split()
-            if cls is None or cls in names or cls == " ".join(names):
-                found.append(node)
-        return found
+            if cls is not None:
+                names = node.attrs.get("class", "").split()
+                if cls not in names and cls != " ".join(names):
+                    continue
+            yield node
+
+    def find_all(self, tag: str, cls: str | None = None, deep: bool = True, **attrs: str) -> list["Node"]:
+        return list(self.matching(tag, cls, deep, **attrs))
 
     def find(self, tag: str, cls: str | None = None, deep: bool = True, **attrs: str) -> "Node | None":
-        found = self.find_all(tag, cls, deep, **attrs)
-        return found[0] if found else None
+        return next(self.matching(tag, cls, deep, **attrs), None)
 
     @property
     def text(self) -> str:
@@ -61,6 +63,9 @@ class Node:
             elif isinstance(item, tuple):
                 parts.append(item[0])
             else:
+                if not item.tag:
+                    stack.extend(c if isinstance(c, Node) else (escape(c, quote=False),) for c in reversed(item.children))
+                    continue
                 attrs = "".join(f' {k}="{escape(v)}"' for k, v in item.attrs.items())
                 if item.tag in VOID:
                     parts.append(f"<{item.tag}{attrs}/>")
