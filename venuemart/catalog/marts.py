@@ -31,7 +31,7 @@ def _mentions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"WITH d AS ({_MENTION_ROWS}), {sql.boxcox_ctes('d', 'x')}, y AS (SELECT d.*, (exp(lmbda * ln(x)) - 1) / lmbda AS y FROM d, lam), "
+    f"WITH d AS ({_MENTION_ROWS}), {sql.boxcox_ctes('d', 'x')}, y AS (SELECT d.*, (exp(lmbda * (ln(x) - avg(ln(x)) OVER ())) - 1) / lmbda AS y FROM d, lam), "
     "z AS (SELECT *, (y - avg(y) OVER ()) / stddev_pop(y) OVER () AS s FROM y) "
     f"SELECT global_id, aspect, value, {sql.rnd('avg(s)', 4)} AS sentiment, CAST(sum(count) AS BIGINT) AS count FROM z "
     "GROUP BY global_id, aspect, value"
@@ -59,7 +59,7 @@ def two_level_rating(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"WITH d AS (SELECT global_id, fname, avg(rating) AS r FROM ({_STARS}) GROUP BY global_id, fname), "
-    f"{sql.boxcox_ctes('d', 'r', 'fname')}, y AS (SELECT global_id, fname, r, (exp(lmbda * ln(r)) - 1) / lmbda AS y FROM d "
+    f"{sql.boxcox_ctes('d', 'r', 'fname')}, y AS (SELECT global_id, fname, r, (exp(lmbda * (ln(r) - avg(ln(r)) OVER (PARTITION BY fname))) - 1) / lmbda AS y FROM d "
     "JOIN lam ON fname = g), z AS (SELECT *, (y - avg(y) OVER (PARTITION BY fname)) / stddev_pop(y) OVER (PARTITION BY fname) AS s "
     f"FROM y) SELECT global_id, {sql.rnd('avg(r)', 6)} AS rating, {sql.rnd('avg(s)', 3)} AS rating_boxcox_scaled FROM z GROUP BY global_id"
 )

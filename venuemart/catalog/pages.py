@@ -115,7 +115,8 @@ def listing_table(spark: SparkSession, sf: str) -> DataFrame:
     saved = cards.groupBy(page.alias("page"), "url").agg(
         F.concat(F.lit('<ul class="l-restaurants clearfix">'), html, F.lit("</ul>")).alias("html")
     )
-    cut = pages.listing_pages(saved, strict=True)
+    # Small pages, costly to parse: spread over all cores rather than by size.
+    cut = pages.listing_pages(saved.repartition(spark.sparkContext.defaultParallelism, "url"), strict=True)
     envelope = cut.select(
         (F.col("page") % 7 > 0).alias("ok"), "url", F.lit("2022-09-09 20:24:22").alias("dttm"),
         F.concat(F.lit("chunk_"), "page", F.lit(".json")).alias("fname"), F.struct("cards").alias("data"),

@@ -42,7 +42,8 @@ def boxcox_ctes(data: str, value: str, group: str = "'all'") -> str:
     """CTEs ending in `lam(g, lmbda)`: the same candidate grids as the operator, by plain cross products."""
     first = ", ".join(f"({i}, {math.sinh(0.6 * i)!r}::DOUBLE)" for i in range(-10, 11))
     out = [
-        f"logs AS (SELECT {group} AS g, ln({value}) AS lg FROM {data} WHERE {value} > 0)",
+        f"logs AS (SELECT {group} AS g, ln({value}) - avg(ln({value})) OVER (PARTITION BY {group}) AS lg FROM {data} "
+        f"WHERE {value} > 0)",
         f"grid0 AS (SELECT gs.g, v.i, v.lam FROM (SELECT DISTINCT g FROM logs) gs, (VALUES {first}) v(i, lam))",
     ]
     for look in range(4):

@@ -170,7 +170,7 @@ def top_k_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"WITH d AS (SELECT event_id, polarity + 1 AS x FROM ({_POLARITY})), {sql.boxcox_ctes('d', 'x')}, "
-    "y AS (SELECT event_id, (exp(lmbda * ln(x)) - 1) / lmbda AS y FROM d, lam) "
+    "y AS (SELECT event_id, (exp(lmbda * (ln(x) - avg(ln(x)) OVER ())) - 1) / lmbda AS y FROM d, lam) "
     f"SELECT event_id, {sql.rnd('(y - avg(y) OVER ()) / stddev_pop(y) OVER ()', 4)} AS sentiment FROM y"
 )
 def boxcox_scaled(spark: SparkSession, sf: str) -> DataFrame:

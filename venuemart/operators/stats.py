@@ -63,33 +63,37 @@ def _grid(low: float, step: float) -> np.ndarray:
     return low + step * np.arange(ZOOM_STEPS + 1)
 
 
-def boxcox_lambda(df: DataFrame, x: str, groups: list[str] | None = None) -> DataFrame:
-    """Maximum-likelihood Box-Cox lambda (`lmbda`) of the positive values, over all rows or per group.
+def _fit(df: DataFrame, x: str, groups: list[str]) -> DataFrame:
+    """groups, `_centre` (mean logarithm) and `lmbda`.
 
-    A few looks at a narrowing grid of candidates, each one aggregation. Between looks the state is one row
-    per group, kept as a table; over all rows it is a pair of numbers. A group without spread has no row in
-    the result.
+    Values are divided by their geometric mean first. That changes neither lambda nor the scaled values, and
+    keeps digits that would be lost when x to the power of lambda is far from 1.
     """
-    groups = groups or []
     use_checkpoints(df.sparkSession)
     data = df.where(F.col(x) > 0).select(*groups, F.ln(x).alias("_log"))
     first = [math.sinh(FIRST_STEP * i) for i in range(-FIRST_GRID, FIRST_GRID + 1)]
     if groups:
-        return _lambda_per_group(data, groups, first)
+        return _fit_groups(data, groups, first)
+    none = df.sparkSession.createDataFrame([], "_centre double, lmbda double")
+    centre = data.agg(F.avg("_log")).first()[0]
+    if centre is None:
+        return none
+    data = data.select((F.col("_log") - centre).alias("_log"))
     lams, found = first, None
     for _ in range(1 + ZOOMS):
         row = _spreads(data, [], lams, []).first()
         spreads = np.array([row[f"_v{i}"] for i in range(len(lams))], dtype=float)
-        found = _narrow(np.array(lams), row["_mean_log"], spreads) if row["_mean_log"] is not None else None
+        found = _narrow(np.array(lams), row["_mean_log"], spreads)
         if found is None:
-            break
+            return none
         lams = _grid(*found[:2]).tolist()
-    return df.sparkSession.createDataFrame([] if found is None else [(found[2],)], "lmbda double")
+    return df.sparkSession.createDataFrame([(centre, found[2])], none.schema)
 
 
-def _lambda_per_group(data: DataFrame, groups: list[str], first: list[float]) -> DataFrame:
+def _fit_groups(data: DataFrame, groups: list[str], first: list[float]) -> DataFrame:
     keys = T.StructType([data.schema[g] for g in groups])
-    out = T.StructType([*keys.fields, *(T.StructField(n, T.DoubleType()) for n in ("_low", "_step", "lmbda"))])
+    numbers = ["_centre", "_low", "_step", "lmbda"]
+    out = T.StructType([*keys.fields, *(T.StructField(n, T.DoubleType()) for n in numbers)])
 
     def narrow(candidates: int, grid: list[float] | None):
         def run(batches):
@@ -100,21 +104,32 @@ def _lambda_per_group(data: DataFrame, groups: list[str], first: list[float]) ->
                     spreads = np.array([row[f"_v{i}"] for i in range(candidates)], dtype=float)
                     found = _narrow(lams, row["_mean_log"], spreads)
                     if found is not None:
-                        rows.append([*(row[g] for g in groups), *found])
+                        rows.append([*(row[g] for g in groups), row["_centre"], *found])
                 yield pd.DataFrame(rows, columns=out.names)
 
         return run
 
-    sizes = data.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).checkpoint()
-    state = _spreads(data, groups, first, []).mapInPandas(narrow(len(first), first), out).checkpoint()
-    for _ in range(ZOOMS):
-        rows = skew_join(data, state.drop("lmbda"), groups, counts=sizes)
-        lams = [F.col("_low") + F.col("_step") * i for i in range(ZOOM_STEPS + 1)]
-        spreads = _spreads(rows, groups, lams, ["_low", "_step"])
-        state = spreads.mapInPandas(narrow(len(lams), None), out).checkpoint()
+    state = data.groupBy(*groups).agg(F.avg("_log").alias("_centre"), F.count(F.lit(1)).alias("n")).checkpoint()
+    sizes = state.select(*groups, "n")
+    for look in range(1 + ZOOMS):
+        rows = skew_join(data, state.drop("lmbda", "n"), groups, counts=sizes)
+        rows = rows.withColumn("_log", F.col("_log") - F.col("_centre"))
+        lams = first if look == 0 else [F.col("_low") + F.col("_step") * i for i in range(ZOOM_STEPS + 1)]
+        spreads = _spreads(rows, groups, lams, ["_centre"] if look == 0 else ["_centre", "_low", "_step"])
+        state = spreads.mapInPandas(narrow(len(lams), first if look == 0 else None), out).checkpoint()
     return state.drop("_low", "_step")
 
 
+def boxcox_lambda(df: DataFrame, x: str, groups: list[str] | None = None) -> DataFrame:
+    """Maximum-likelihood Box-Cox lambda (`lmbda`) of the positive values, over all rows or per group.
+
+    A few looks at a narrowing grid of candidates, each one aggregation. Between looks the state is one row
+    per group, kept as a table; over all rows it is a pair of numbers. A group without spread has no row in
+    the result.
+    """
+    return _fit(df, x, groups or []).drop("_centre")
+
+
 def zscore(df: DataFrame, x: str, out: str, groups: list[str] | None = None) -> DataFrame:
     """(x - mean) / population deviation; 0 where there is no spread, NULL for NULL."""
     moments = F.struct(F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"))
@@ -137,13 +152,13 @@ def boxcox_scale(
     """
     groups = groups or []
     rows = df.withColumn("_x", F.col(x) + F.lit(1.0 if add_one else 0.0))
-    fitted = boxcox_lambda(rows, "_x", groups)
+    fitted = _fit(rows, "_x", groups)
     if groups:
         rows = skew_join(rows, fitted, groups, "left")
     else:
         row = fitted.first()
-        rows = rows.withColumn("lmbda", F.lit(row["lmbda"] if row else None).cast("double"))
+        rows = rows.withColumns({c: F.lit(row[c] if row else None).cast("double") for c in fitted.columns})
     # No lambda means no spread: any lambda then gives a constant, which scales to 0.
-    scaled = boxcox(F.ln("_x"), F.coalesce("lmbda", F.lit(1.0)))
-    rows = rows.withColumn("_bc", F.when(F.col("_x") > 0, scaled))
+    log = F.ln("_x") - F.coalesce("_centre", F.lit(0.0))
+    rows = rows.withColumn("_bc", F.when(F.col("_x") > 0, boxcox(log, F.coalesce("lmbda", F.lit(1.0)))))
     return zscore(rows, "_bc", out, groups).select(*df.columns, out)
