@@ -136,6 +136,35 @@ def test_crowded_place_does_not_pair_everything(spark):
     assert got.where("id = global_id").count() == got.count() == 2000
 
 
+def test_copies_of_one_venue_are_split(spark):
+    """A third of the listing is one venue: its copies are matched once, and the join back is cut into pieces."""
+    copies = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+    listing = spark.range(30000).select(
+        "id", (F.lit(37.0) + copies / 30000).alias("x_coord"), F.lit(55.7).alias("y_coord"), F.concat(F.lit("зал "), copies).alias("title_norm"),
+        F.sha2(F.col("id").cast("string"), 512).alias("review"),
+    )
+    register = listing.where("id < 3000").select(F.col("id").alias("global_id"), "x_coord", "y_coord", F.col("title_norm").alias("Name_norm"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        matched = match.match_listing(listing.repartition(8), register, 5.0)
+        got = matched.collect()
+        plan = matched._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(r.global_id == 0 for r in got) == 10000 and len(got) == 10000 + 2000
+    assert "skew=true" in plan
+
+
 # --- ids --------------------------------------------------------------------------------------------------
 
 

@@ -56,6 +56,7 @@ def extract_pages(
 
 
 # --- parsers of one page or card --------------------------------------------------------------------------
+# Tag, class and attribute names below are those of the saved pages.
 
 
 def _need(node: Node | None, what: str) -> Node:
