@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
-
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,11 +70,18 @@ def _fit(df: DataFrame, x: str, groups: list[str]) -> DataFrame:
     keeps digits that would be lost when x to the power of lambda is far from 1.
     """
     use_checkpoints(df.sparkSession)
-    data = df.where(F.col(x) > 0).select(*groups, F.ln(x).alias("_log"))
+    # Read once per look, so the one number per row is kept (memory, then disk) instead of computed again.
+    logs = df.where(F.col(x) > 0).select(*groups, F.ln(x).alias("_log")).persist(StorageLevel.MEMORY_AND_DISK)
     first = [math.sinh(FIRST_STEP * i) for i in range(-FIRST_GRID, FIRST_GRID + 1)]
-    if groups:
-        return _fit_groups(data, groups, first)
-    none = df.sparkSession.createDataFrame([], "_centre double, lmbda double")
+    try:
+        return _fit_groups(logs, groups, first) if groups else _fit_all(logs, first)
+    finally:
+        logs.unpersist()
+
+
+def _fit_all(data: DataFrame, first: list[float]) -> DataFrame:
+    spark = data.sparkSession
+    none = spark.createDataFrame([], "_centre double, lmbda double")
     centre = data.agg(F.avg("_log")).first()[0]
     if centre is None:
         return none
@@ -87,7 +94,7 @@ def _fit(df: DataFrame, x: str, groups: list[str]) -> DataFrame:
         if found is None:
             return none
         lams = _grid(*found[:2]).tolist()
-    return df.sparkSession.createDataFrame([(centre, found[2])], none.schema)
+    return spark.createDataFrame([(centre, found[2])], none.schema)
 
 
 def _fit_groups(data: DataFrame, groups: list[str], first: list[float]) -> DataFrame:
