@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from venuemart.llm import exact_dedup as exact
 from venuemart.llm import line_dedup as lines
+from venuemart.llm import mixing, simhash
 from venuemart.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +26,11 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_simhash_near_dedup(spark, sf_dir):
+    return simhash.simhash_dedup(read_table(spark, sf_dir, "documents"))
+
+
 @query(r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256
@@ -48,3 +54,8 @@ FROM l LEFT JOIN common c ON l.key = c.key GROUP BY doc_id""")
 def op4_line_dedup(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     return lines.drop_lines(docs.select("doc_id", "text")).select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op9_source_mixing(spark, sf_dir):
+    return mixing.mix_sizes(read_table(spark, sf_dir, "documents"))
