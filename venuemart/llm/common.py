@@ -45,12 +45,12 @@ def mark() -> int:
     return len(_folders)
 
 
-def release(spark: SparkSession, since: int = 0) -> None:
-    """Delete the tables stored after `since`."""
-    for folder in _folders[since:]:
+def release(spark: SparkSession, since: int = 0, until: int | None = None) -> None:
+    """Delete the tables that were stored from number `since` up to `until`."""
+    for folder in _folders[since:until]:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder).getParent()
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    del _folders[since:]
+    del _folders[since:until]
 
 
 def packed(df: DataFrame, **keys: Column) -> DataFrame:

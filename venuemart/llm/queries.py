@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from venuemart.llm import exact_dedup as exact
 from venuemart.llm import line_dedup as lines
 from venuemart.llm import mixing, quality, simhash, toxicity
 from venuemart.llm.common import read_table
+from venuemart.llm.recipe import graded, held_out, tokenised, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,16 +34,12 @@ def op1_simhash_near_dedup(spark, sf_dir):
     return simhash.simhash_dedup(read_table(spark, sf_dir, "documents"))
 
 
-def _held_out(column: str = "doc_id"):
-    return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(5)) == 0
-
-
 @query()
 def op2_toxicity(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = read_table(spark, sf_dir, "labels").where(~_held_out())
+    labels = read_table(spark, sf_dir, "labels").where(~held_out())
     scored = toxicity.score(docs, toxicity.fit(docs, labels))
-    return scored.select("row.doc_id", _held_out("row.doc_id").alias("held_out"), "score", "predicted", "toxicity", "ordinary", "worst")
+    return scored.select("row.doc_id", held_out("row.doc_id").alias("held_out"), "score", "predicted", "toxicity", "ordinary", "worst")
 
 
 @query(r"""
@@ -68,19 +67,24 @@ def op4_line_dedup(spark, sf_dir):
     return lines.drop_lines(docs.select("doc_id", "text")).select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def graded(labels):
-    """Ratings in three grades: 0 poor, 1 good but toxic, 2 good."""
-    return labels.select("doc_id", F.when(F.col("quality") == 1, F.lit(2) - F.col("toxic")).otherwise(0).alias("grade"))
-
-
 @query()
 def op5_quality_classifier(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = quality.fit(docs, graded(read_table(spark, sf_dir, "labels").where(~_held_out())))
+    model = quality.fit(docs, graded(read_table(spark, sf_dir, "labels").where(~held_out())))
     scored = quality.score(docs, model, least=1.0)
-    return scored.select("row.doc_id", _held_out("row.doc_id").alias("held_out"), "expected_grade", "tail", (F.col("tail") >= 0.5).alias("kept"))
+    return scored.select("row.doc_id", held_out("row.doc_id").alias("held_out"), "expected_grade", "tail", (F.col("tail") >= 0.5).alias("kept"))
+
+
+@query()
+def op7_sentencepiece(spark, sf_dir):
+    return tokenised(read_table(spark, sf_dir, "documents"), vocabulary())
 
 
 @query()
 def op9_source_mixing(spark, sf_dir):
     return mixing.mix_sizes(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
