@@ -11,7 +11,7 @@ import corpus_pipeline
 
 from venuemart.llm import exact_dedup as exact
 from venuemart.llm import line_dedup as lines
-from venuemart.llm import mixing, quality, simhash, toxicity
+from venuemart.llm import mixing, quality, rules, simhash, toxicity
 from venuemart.llm.common import read_table
 from venuemart.llm.recipe import graded, held_out, tokenised, vocabulary
 
@@ -75,6 +75,44 @@ def op5_quality_classifier(spark, sf_dir):
     return scored.select("row.doc_id", held_out("row.doc_id").alias("held_out"), "expected_grade", "tail", (F.col("tail") >= 0.5).alias("kept"))
 
 
+_WORDS = ", ".join(f"'{w}'" for w in rules.COMMON_WORDS)
+
+
+@query(
+    rf"""
+WITH t AS (SELECT doc_id, lang, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
+  regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g') AS s1 FROM t),
+a AS (SELECT *, regexp_replace(s1, '\p{{Ll}}+', '', 'g') AS s2 FROM w),
+b AS (SELECT *, regexp_replace(s2, '\p{{Lu}}+', '', 'g') AS s3 FROM a),
+c AS (SELECT *, regexp_replace(s3, '\p{{Nd}}+', '', 'g') AS s4 FROM b),
+d AS (SELECT *, regexp_replace(s4, '[.,;:!?''"()-]+', '', 'g') AS s5 FROM c),
+e AS (SELECT *, regexp_replace(s5, '[#*$%&|<>]+', '', 'g') AS s6 FROM d),
+f AS (SELECT doc_id, lang, len(ws) AS n_words, length(s1) AS word_chars, length(s5) - length(s6) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines, ws,
+  [length(text) - length(s1), length(s1) - length(s2), length(s2) - length(s3), length(s3) - length(s4), length(s4) - length(s5), length(s5) - length(s6), length(s6)] AS classes,
+  list_transform([{_WORDS}], lambda k: len(list_filter(ws, lambda x: x = k))) AS common FROM e),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS n FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM f)),
+h AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM g WHERE n > 1) GROUP BY doc_id),
+f2 AS (SELECT f.* EXCLUDE common, list_append(common, n_words - list_sum(common)) AS common, coalesce(h.n, 0) AS n_repeat_words FROM f LEFT JOIN h ON f.doc_id = h.doc_id),
+r0 AS (SELECT lang, n_words, unnest(classes || common) AS v, generate_subscripts(classes || common, 1) AS i FROM f2 WHERE n_words >= {rules.LEAST_WORDS}),
+r1 AS (SELECT lang, i, sum(v) AS v FROM r0 GROUP BY lang, i),
+r AS (SELECT lang, list(v ORDER BY i) AS v FROM r1 GROUP BY lang HAVING sum(v) FILTER (WHERE i > 7) >= {rules.WORDS_FOR_REFERENCE}),
+m AS (SELECT f2.*, list_transform(classes, lambda x: x / list_sum(classes)) AS p1, list_transform(common, lambda x: x / list_sum(common)) AS p2,
+  list_transform(r.v[1:7], lambda x: x / list_sum(r.v[1:7])) AS q1, list_transform(r.v[8:], lambda x: x / list_sum(r.v[8:])) AS q2
+  FROM f2 LEFT JOIN r ON f2.lang IS NOT DISTINCT FROM r.lang),
+s AS (SELECT *, n_words < {rules.LEAST_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  sqrt(greatest(0, list_sum(list_transform(range(1, 8), lambda i: (CASE WHEN p1[i] > 0 THEN p1[i] * log2(2 * p1[i] / (p1[i] + q1[i])) ELSE 0 END + CASE WHEN q1[i] > 0 THEN q1[i] * log2(2 * q1[i] / (p1[i] + q1[i])) ELSE 0 END) / 2)))) AS d1,
+  sqrt(greatest(0, list_sum(list_transform(range(1, {len(rules.COMMON_WORDS) + 2}), lambda i: (CASE WHEN p2[i] > 0 THEN p2[i] * log2(2 * p2[i] / (p2[i] + q2[i])) ELSE 0 END + CASE WHEN q2[i] > 0 THEN q2[i] * log2(2 * q2[i] / (p2[i] + q2[i])) ELSE 0 END) / 2)))) AS d2 FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND (q1 IS NULL OR d1 < {rules.CLASSES_APART}) AND (n_words < {rules.WORDS_FOR_COMMON} OR q1 IS NULL OR d2 < {rules.COMMON_APART}) AS kept
+FROM s"""
+)
+def op6_quality_rules(spark, sf_dir):
+    out = rules.quality_rules(read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    return out.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 @query()
 def op7_sentencepiece(spark, sf_dir):
     return tokenised(read_table(spark, sf_dir, "documents"), vocabulary())
