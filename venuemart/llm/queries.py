@@ -11,7 +11,7 @@ import corpus_pipeline
 
 from venuemart.llm import exact_dedup as exact
 from venuemart.llm import line_dedup as lines
-from venuemart.llm import mixing, quality, rules, simhash, toxicity
+from venuemart.llm import html_cut, mixing, quality, rules, simhash, toxicity
 from venuemart.llm.common import read_table
 from venuemart.llm.recipe import graded, held_out, tokenised, vocabulary
 
@@ -123,6 +123,12 @@ def op9_source_mixing(spark, sf_dir):
     return mixing.mix_sizes(read_table(spark, sf_dir, "documents"))
 
 
+@query()
+def op10_html_extraction(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_cut.extract(pages).select("row.page_id", "row.url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
