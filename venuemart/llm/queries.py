@@ -11,7 +11,7 @@ import corpus_pipeline
 
 from venuemart.llm import exact_dedup as exact
 from venuemart.llm import line_dedup as lines
-from venuemart.llm import html_cut, mixing, quality, rules, simhash, toxicity
+from venuemart.llm import html_cut, licenses, mixing, quality, rules, simhash, toxicity
 from venuemart.llm.common import read_table
 from venuemart.llm.recipe import graded, held_out, tokenised, vocabulary
 
@@ -118,6 +118,12 @@ def op7_sentencepiece(spark, sf_dir):
     return tokenised(read_table(spark, sf_dir, "documents"), vocabulary())
 
 
+@query()
+def op8_license_scan(spark, sf_dir):
+    out = licenses.license_scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("row.doc_id", F.size("matches").cast("bigint").alias("n_matches"), "matches")
+
+
 @query()
 def op9_source_mixing(spark, sf_dir):
     return mixing.mix_sizes(read_table(spark, sf_dir, "documents"))
