@@ -95,9 +95,12 @@ f AS (SELECT doc_id, lang, len(ws) AS n_words, length(s1) AS word_chars, length(
 g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS n FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM f)),
 h AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM g WHERE n > 1) GROUP BY doc_id),
 f2 AS (SELECT f.* EXCLUDE common, list_append(common, n_words - list_sum(common)) AS common, coalesce(h.n, 0) AS n_repeat_words FROM f LEFT JOIN h ON f.doc_id = h.doc_id),
-r0 AS (SELECT lang, n_words, unnest(classes || common) AS v, generate_subscripts(classes || common, 1) AS i FROM f2 WHERE n_words >= {rules.LEAST_WORDS}),
+r00 AS (SELECT lang, n_words, list_transform(classes, lambda x: floor(x / list_sum(classes) * 1000000)) || list_transform(common, lambda x: floor(x / list_sum(common) * 1000000)) AS vs
+  FROM f2 WHERE n_words >= {rules.LEAST_WORDS} AND 100 * n_repeat_words <= 50 * n_words),
+r0 AS (SELECT lang, unnest(vs) AS v, generate_subscripts(vs, 1) AS i FROM r00),
 r1 AS (SELECT lang, i, sum(v) AS v FROM r0 GROUP BY lang, i),
-r AS (SELECT lang, list(v ORDER BY i) AS v FROM r1 GROUP BY lang HAVING sum(v) FILTER (WHERE i > 7) >= {rules.WORDS_FOR_REFERENCE}),
+enough AS (SELECT lang FROM r00 GROUP BY lang HAVING sum(n_words) >= {rules.WORDS_FOR_REFERENCE}),
+r AS (SELECT r1.lang, list(v ORDER BY i) AS v FROM r1 JOIN enough ON r1.lang IS NOT DISTINCT FROM enough.lang GROUP BY r1.lang),
 m AS (SELECT f2.*, list_transform(classes, lambda x: x / list_sum(classes)) AS p1, list_transform(common, lambda x: x / list_sum(common)) AS p2,
   list_transform(r.v[1:7], lambda x: x / list_sum(r.v[1:7])) AS q1, list_transform(r.v[8:], lambda x: x / list_sum(r.v[8:])) AS q2
   FROM f2 LEFT JOIN r ON f2.lang IS NOT DISTINCT FROM r.lang),

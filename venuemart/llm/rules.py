@@ -1,7 +1,8 @@
 """Quality rules by distribution divergence, in DataFrame functions alone.
 
 A document's histograms of character classes and of common words are compared with those of its language by the
-Jensen-Shannon distance (0 to 1). The references are the sums over all documents of the language.
+Jensen-Shannon distance (0 to 1). The references are the means over all documents of the language that pass the
+base rules, long and short ones alike.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ LEAST_WORDS = 50
 WORDS_FOR_COMMON = 100
 WORDS_FOR_REFERENCE = 10_000
 #: Distances from which a document is rejected.
-CLASSES_APART = 0.20
-COMMON_APART = 0.28
+CLASSES_APART = 0.25
+COMMON_APART = 0.27
 
 # Words of three-word windows that occur twice or more. The names w, h, s bind an array once, so that lambdas
 # do not evaluate it for every element. Windows are told apart by a 64-bit hash of their words.
@@ -78,6 +79,10 @@ def shares(column: str) -> Column:
     return F.when(total > 0, F.element_at(F.transform(F.array(total), lambda t: F.transform(column, lambda v: v / t)), 1))
 
 
+def base_failed() -> Column:
+    return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+
+
 def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", classes_apart: float = CLASSES_APART, common_apart: float = COMMON_APART) -> DataFrame:
     """Rows of docs as struct `row`, with the base counts, both distances, base_failed and kept.
 
@@ -88,14 +93,15 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     """
     held = stored(counted(docs, text_col, lang_col), "counts")
     n = {c: len(v) for c, v in (("classes", [0] * 7), ("common", [*COMMON_WORDS, ""]))}
-    sums = [F.array(*[F.sum(F.get(c, F.lit(k))) for k in range(n[c])]).alias(f"{c}_of") for c in n]
-    long = held.where(F.col("n_words") >= LEAST_WORDS)
+    # Shares in whole millionths: their sums do not depend on the order of the rows.
+    sums = [F.array(*[F.sum(F.get(f"{c}_in", F.lit(k))) for k in range(n[c])]).alias(f"{c}_of") for c in n]
+    long = held.where(~base_failed()).withColumns({f"{c}_in": F.transform(shares(c), lambda v: F.floor(v * 1e6)) for c in n})
     refs = long.groupBy(F.col("lang").alias("ref")).agg(F.sum("n_words").alias("ref_words"), *sums).where(F.col("ref_words") >= WORDS_FOR_REFERENCE)
     met = held.join(refs, F.col("lang").eqNullSafe(F.col("ref")), "left")
     for c in n:
         met = met.withColumn(c, shares(c)).withColumn(f"{c}_of", shares(f"{c}_of"))
     apart = {c: F.when(F.col("n_words") >= least, distance(F.col(c), F.col(f"{c}_of"))) for c, least in (("classes", LEAST_WORDS), ("common", WORDS_FOR_COMMON))}
-    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    failed = base_failed()
     out = met.withColumn("base_failed", failed).withColumn("class_distance", apart["classes"]).withColumn("word_distance", apart["common"])
     fine = (F.coalesce("class_distance", F.lit(0.0)) < classes_apart) & (F.coalesce("word_distance", F.lit(0.0)) < common_apart)
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
