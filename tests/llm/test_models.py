@@ -84,8 +84,7 @@ def test_ordinal_thresholds():
     x = rng.uniform(-2, 2, 6000)
     p = 1 / (1 + np.exp(-(np.array([-1.0, 1.5])[:, None] - 2 * x)))
     grades = (rng.random(6000)[None, :] > p).sum(axis=0).astype(float)
-    rows = [(np.array([0]), np.array([v])) for v in x]
-    model = quality.fit_ordinal(rows, grades, rounds=400)
+    model = quality.fit_ordinal(np.ones(6000, int), np.zeros(6000, np.int32), x, grades, rounds=400)
     assert model.grades == [0.0, 1.0, 2.0] and model.thresholds[0] < model.thresholds[1]
     assert model.weights[0] == pytest.approx(2, abs=0.2)
     assert model.thresholds == pytest.approx([-1, 1.5], abs=0.2)

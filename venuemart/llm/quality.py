@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,15 +83,15 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - scores[:, None], -35, 35)))
 
 
-def fit_ordinal(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, rounds: int = 150, rate: float = 0.1, penalty: float = 1e-5) -> Model:
-    """rows: (buckets, values) of each text. Adam on the mean negative log-likelihood."""
+def fit_ordinal(sizes: np.ndarray, at: np.ndarray, x: np.ndarray, grades: np.ndarray, rounds: int = 150, rate: float = 0.1, penalty: float = 1e-5) -> Model:
+    """sizes: entries of each text; at, x: bucket and value of every entry, text by text. Adam on the mean
+    negative log-likelihood."""
     values = sorted(set(grades.tolist()))
     k = len(values) - 1
     if k < 1:
         return Model(np.zeros(BUCKETS), np.zeros(k), values or [0.0])
     y = np.searchsorted(values, grades)
-    of = np.repeat(np.arange(len(rows)), [len(b) for b, _ in rows])
-    at, x = np.concatenate([b for b, _ in rows]), np.concatenate([v for _, v in rows])
+    n, of = len(sizes), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     below = np.array([(y <= j).mean() for j in range(k)]).clip(0.01, 0.99)
     start = np.log(below / (1 - below))
     # The first threshold and the logarithms of the steps to the next ones: so they stay in order.
@@ -100,17 +101,17 @@ def fit_ordinal(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, r
     for t in range(1, rounds + 1):
         steps = np.exp(w[BUCKETS + 1 :])
         theta = w[BUCKETS] + np.concatenate([[0.0], np.cumsum(steps)])
-        s = np.bincount(of, w[at] * x, len(rows))
+        s = np.bincount(of, w[at] * x, n)
         edges = np.concatenate([[-np.inf], theta, [np.inf]])
         with np.errstate(invalid="ignore"):
             high, low = sig(edges[y + 1] - s), sig(edges[y] - s)
         high, low = np.where(y == k, 1.0, high), np.where(y == 0, 0.0, low)
         p = np.maximum(high - low, 1e-12)
         grad = np.zeros_like(w)
-        grad[:BUCKETS] = np.bincount(at, (1 - high - low)[of] * x, BUCKETS) / len(rows) + penalty * w[:BUCKETS]
+        grad[:BUCKETS] = np.bincount(at, (1 - high - low)[of] * x, BUCKETS) / n + penalty * w[:BUCKETS]
         by = np.zeros(k)
         for j in range(k):
-            by[j] = (-(high * (1 - high) / p)[y == j].sum() + (low * (1 - low) / p)[y == j + 1].sum()) / len(rows)
+            by[j] = (-(high * (1 - high) / p)[y == j].sum() + (low * (1 - low) / p)[y == j + 1].sum()) / n
         grad[BUCKETS] = by.sum()
         for j in range(1, k):
             grad[BUCKETS + j] = by[j:].sum() * steps[j - 1]
@@ -129,7 +130,7 @@ def _features(batches):
             held = np.flatnonzero(x)
             at.append(held.astype(np.int32))
             values.append(x[held].astype(np.float32))
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32())), batch.column("grade")], ["at", "x", "grade"])
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(at, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32())), batch.column("grade")], ["id", "at", "x", "grade"])
 
 
 def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade", sample: int = SAMPLE) -> Model:
@@ -142,11 +143,12 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: s
     known = known.dropna().groupBy("id").agg(F.min("grade").alias("grade"))
     known = stored(known.orderBy(F.xxhash64("id"), "id").limit(sample), "ratings")
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), text_of(text_col).alias("text")).join(F.broadcast(known), "id")
-    found = texts.select("text", "grade").mapInArrow(_features, "at array<int>, x array<float>, grade double")
-    # Copies of an id share its rating; their order must not depend on the partitions.
-    held = found.toPandas().sort_values("grade", kind="stable")
-    rows = [(np.asarray(a, np.int64), np.asarray(x, np.float64)) for a, x in zip(held["at"], held["x"], strict=True)]
-    return fit_ordinal(rows, held["grade"].to_numpy(float))
+    found = texts.select("id", "text", "grade").mapInArrow(_features, "id bigint, at array<int>, x array<float>, grade double")
+    # The order of the sums, and so the model, must not depend on the partitions.
+    held = found.orderBy("id", "grade").toArrow()
+    at, x = (held.column(c).combine_chunks().flatten().to_numpy() for c in ("at", "x"))
+    sizes = np.array(pa.compute.list_value_length(held.column("at").combine_chunks()).to_pylist(), np.int64)
+    return fit_ordinal(sizes, at, x, held.column("grade").to_numpy())
 
 
 def score(docs: DataFrame, model: Model, least: float | None = None, text_col: str = "text") -> DataFrame:
