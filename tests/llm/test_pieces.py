@@ -1,5 +1,6 @@
 """Encoding against the library in unigram mode, decoding against exact round trips."""
 
+import hashlib
 import random
 
 import pytest
@@ -116,3 +117,8 @@ def test_round_trip_of_tables(spark, vocabulary):
     assert [r.decoded for r in out] == [r[1] or "" for r in rows]
     assert pieces.encode(docs.limit(0), vocabulary).collect() == []
     assert pieces.decode(coded.limit(0), vocabulary).collect() == []
+    both = pieces.encode_and_decode(docs, vocabulary).collect()
+    for r, (i, text, *_) in zip(both, rows, strict=True):
+        assert (r.doc_id, r.ids, r.n_ids) == (i, vocabulary.encode(text or ""), len(r.ids))
+        assert r.exact and r.decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
+    assert pieces.encode_and_decode(docs.limit(0), vocabulary).collect() == []

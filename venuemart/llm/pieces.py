@@ -8,6 +8,9 @@ pieces into characters, and takes the first blank away.
 
 from __future__ import annotations
 
+import hashlib
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
@@ -18,9 +21,11 @@ from pyspark.sql import types as T
 from venuemart.llm.common import packed, text_of, with_fields
 
 MARK = "▁"
+#: Texts that a task works on at once; their ids leave before the next ones come.
+AT_ONCE = 256
 UNKNOWN_COST = 10.0
 #: Segments whose ids a Python worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 
 class DoubleArray:
@@ -174,6 +179,18 @@ class Vocabulary:
         return text[1:] if text.startswith(" ") else text
 
 
+def slices(batches):
+    for batch in batches:
+        for start in range(0, batch.num_rows, AT_ONCE):
+            yield batch.slice(start, AT_ONCE)
+
+
+def _lists(rows: list[list[int]]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    flat = np.fromiter(chain.from_iterable(rows), np.int32, int(ends[-1]))
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+
 def load(model_file: str) -> Vocabulary:
     """Read the pieces of a .model file, on the driver."""
     import sentencepiece
@@ -193,11 +210,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text") -> D
 
     def run(batches):
         own = sent.value
-        for batch in batches:
-            out = [np.array(own.encode(t), np.int32) for t in batch.column("text").to_pylist()]
-            ends = np.cumsum([0, *map(len, out)]).astype(np.int32)
-            flat = np.concatenate(out) if out else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))], ["row", "ids"])
+        for batch in slices(batches):
+            ids = _lists([own.encode(t) for t in batch.column("text").to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), ids], ["row", "ids"])
 
     return base.mapInArrow(run, with_fields(T.StructType([base.schema["row"]]), T.StructField("ids", T.ArrayType(T.IntegerType()))))
 
@@ -212,10 +227,33 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids") ->
 
     def run(batches):
         own = sent.value
-        for batch in batches:
+        for batch in slices(batches):
             ids = batch.column("ids")
             flat, ends = ids.flatten().to_numpy(zero_copy_only=False), np.cumsum([0, *pa.compute.list_value_length(ids).to_pylist()])
             out = [own.decode(flat[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.string())], ["row", "decoded"])
 
     return base.mapInArrow(run, with_fields(T.StructType([base.schema["row"]]), T.StructField("decoded", T.StringType())))
+
+
+def encode_and_decode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, ids, n_ids, decoded_sha256 (of the decoded text), exact (whether that is the text).
+
+    Both directions in one pass, so neither the text nor the ids go through a second Python worker. Null text
+    counts as empty; null ids and repeated rows are ordinary rows. Other columns are not read.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    base = docs.select(F.col(id_col).cast("bigint").alias("id"), text_of(text_col).alias("text"))
+
+    def run(batches):
+        own = sent.value
+        for batch in slices(batches):
+            texts = batch.column("text").to_pylist()
+            ids = [own.encode(t) for t in texts]
+            decoded = [own.decode(x) for x in ids]
+            marks = [hashlib.sha256(t.encode()).hexdigest() for t in decoded]
+            same = [a == b for a, b in zip(texts, decoded, strict=True)]
+            columns = [batch.column("id"), _lists(ids), pa.array([len(x) for x in ids], pa.int64()), pa.array(marks, pa.string()), pa.array(same, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "ids", "n_ids", "decoded_sha256", "exact"])
+
+    return base.mapInArrow(run, "id bigint, ids array<int>, n_ids bigint, decoded_sha256 string, exact boolean").withColumnRenamed("id", id_col)

@@ -11,9 +11,9 @@ import corpus_pipeline
 
 from venuemart.llm import exact_dedup as exact
 from venuemart.llm import line_dedup as lines
-from venuemart.llm import html_cut, licenses, mixing, quality, rules, simhash, toxicity
+from venuemart.llm import html_cut, licenses, mixing, pieces, quality, rules, simhash, toxicity
 from venuemart.llm.common import read_table
-from venuemart.llm.recipe import graded, held_out, tokenised, vocabulary
+from venuemart.llm.recipe import graded, held_out, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -118,7 +118,7 @@ def op6_quality_rules(spark, sf_dir):
 
 @query()
 def op7_sentencepiece(spark, sf_dir):
-    return tokenised(read_table(spark, sf_dir, "documents"), vocabulary())
+    return pieces.encode_and_decode(read_table(spark, sf_dir, "documents"), vocabulary())
 
 
 @query()

@@ -27,12 +27,3 @@ def vocabulary(path: str | None = None) -> pieces.Vocabulary:
 
         path = public_tokenizers.path(PIECES)
     return pieces.load(path)
-
-
-def tokenised(docs: DataFrame, held: pieces.Vocabulary) -> DataFrame:
-    """Per document: id, ids, their number, the SHA-256 of the decoded text, whether that is the text."""
-    text = F.coalesce("row.row.text", F.lit(""))
-    out = pieces.decode(pieces.encode(docs.select("doc_id", "text"), held), held)
-    return out.select(
-        "row.row.doc_id", "row.ids", F.size("row.ids").cast("bigint").alias("n_ids"), F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == text).alias("exact")
-    )
