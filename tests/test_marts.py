@@ -63,16 +63,47 @@ def test_concat_json(spark, tmp_path, flatten, rows):
 
 def test_empty_folder(spark, tmp_path):
     assert files.read_json_folder(spark, str(tmp_path), "a int").count() == 0
-    assert files.read_csv_by_name(spark, str(tmp_path), "a int, b string", "f").columns == ["a", "b", "f"]
+    assert files.read_by_name(spark, str(tmp_path), "a int, b string", "f").columns == ["a", "b", "f"]
 
 
 def test_csv_by_name_reorders(spark, tmp_path):
     (tmp_path / "one file.csv").write_text('a,b\n1,"x\ny"\n')
     (tmp_path / "two.csv").write_text("b,c,a\nz,9,2\n")
-    got = files.read_csv_by_name(spark, str(tmp_path), "a int, b string", "f").orderBy("a").collect()
+    got = files.read_by_name(spark, str(tmp_path), "a int, b string", "f", multi_line=True).orderBy("a").collect()
     assert [(r.a, r.b) for r in got] == [(1, "x\ny"), (2, "z")] and got[1].f.endswith("two.csv")
 
 
+def test_by_name_over_data_sets(spark, tmp_path):
+    """Folders of either format, quoted commas in headers, missing columns; unknown files are an error."""
+    df = spark.createDataFrame([(k, f"t{k}") for k in range(20)], "a int, `x,b` string")
+    df.where("a < 8").repartition(4).write.option("header", True).csv(str(tmp_path / "one.csv"))
+    df.where("a >= 8 and a < 15").repartition(2).write.parquet(str(tmp_path / "two"))
+    (tmp_path / "three.csv").write_text('"x,b",a\n"q, r",99\n')
+    got = files.read_by_name(spark, str(tmp_path), "a int, `x,b` string, none double", "f").collect()
+    assert sorted((r.a, r["x,b"]) for r in got) == [*((k, f"t{k}") for k in range(15)), (99, "q, r")]
+    assert {r.f.rsplit("/", 1)[1] for r in got} == {"one.csv", "two", "three.csv"}
+    (tmp_path / "notes.txt").write_text("x")
+    with pytest.raises(ValueError):
+        files.read_by_name(spark, str(tmp_path), "a int")
+    with pytest.raises(FileNotFoundError):
+        files.read_by_name(spark, str(tmp_path / "missing"), "a int")
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_ratings_do_not_depend_on_part_files(spark, tmp_path, parts):
+    stars = spark.createDataFrame([(1, "food", "u", r) for r in (1, 1, 1, 5)], schemas.STAR_ASPECT)
+    stars.repartition(parts).write.option("header", True).csv(str(tmp_path / "stars" / "a.csv"))
+    jobs.collect_aspects(spark, str(tmp_path / "stars"), str(tmp_path / "rating"))
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "rating")).collect()] == [(1, 2.0)]
+
+
+def test_concat_of_nested_values(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "c.json").write_text('[{"a": 1}, {"a": 2}]')
+    jobs.concat_data(spark, str(tmp_path / "in"), str(tmp_path / "out"), "array<struct<a: int>>")
+    assert [[x.a for x in r.value] for r in spark.read.json(str(tmp_path / "out")).collect()] == [[1, 2]]
+
+
 def test_listing_to_final_table(spark, tmp_path):
     """The whole chain over files: match, features, mentions, rollups, final table."""
     site = "https://venues.example.org/"

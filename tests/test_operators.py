@@ -30,7 +30,7 @@ def test_skew_join_equals_plain_join(spark, how):
     facts = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 50 > 0, F.col("id") % 40).alias("k"))
     dims = spark.createDataFrame([(1, "a"), (1, "b"), (7, "c"), (99, "d"), (None, "e")], "k long, v string")
     plain = facts.join(dims, "k", how).select("k", "id", "v")
-    balanced = skew.skew_join(facts, dims, ["k"], how, hot_rows=20, salts=5).select("k", "id", "v")
+    balanced = skew.skew_join(facts, dims, ["k"], how, hot_rows=20).select("k", "id", "v")
     assert rows(balanced) == rows(plain)
 
 
@@ -40,7 +40,7 @@ def test_skew_join_spreads_a_hot_key(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = skew.skew_join(facts, dims, ["k"], hot_rows=1000, salts=32)
+        joined = skew.skew_join(facts, dims, ["k"], hot_rows=1000)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -49,6 +49,26 @@ def test_skew_join_spreads_a_hot_key(spark):
     assert len(sizes) == 4 and max(sizes) < 9000
 
 
+def test_equal_rows_of_a_key_spread(spark):
+    """100,000 identical rows: all tasks that the key is dealt to get their share."""
+    facts = spark.range(100_000, numPartitions=4).select(F.lit(1).alias("k"), F.lit("same").alias("t"))
+    dims = spark.createDataFrame([(1, "a")], "k int, v string")
+    counts = facts.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    assert [(r.k, r._salts) for r in skew.hot_keys(counts, ["k"], 2000).collect()] == [(1, 50)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        joined = skew.skew_join(facts, dims, ["k"], hot_rows=2000)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"):
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    # Fifty shares of about 2,000 rows fall on 64 tasks by their hash.
+    assert sum(sizes) == 100_000 and len(sizes) > 25 and max(sizes) < 13_000
+
+
 def test_group_values(spark):
     df = spark.createDataFrame([("a", "x"), ("a", None), (None, "y"), ("b", "z"), (None, "w")], "k string, v string")
     got = skew.with_group_values(df, ["k"], n=F.count("v"), top=F.max("v"))
@@ -269,10 +289,11 @@ def test_dish_mentions(spark):
 
 
 def test_lemmatise(spark):
-    df = spark.createDataFrame([(1, "мама готовила рыбу рыбу"), (2, ""), (3, None)], "k long, t string")
+    df = spark.createDataFrame([(1, "мама готовила рыбу рыбу"), (2, ""), (3, None), (None, "рыбу")], "k long, t string")
     lemmas = spark.createDataFrame([("готовила", "готовить"), ("рыбу", "рыба")], "token string, lemma string")
-    want = [(1, "мама готовить рыба рыба"), (2, ""), (3, None)]
-    assert rows(mentions.lemmatise(df, "t", ["k"], lemmas, "n").select("k", "n")) == want
+    want = sorted([(1, "мама готовить рыба рыба"), (2, ""), (3, None), (None, "рыба")], key=repr)
+    assert rows(mentions.lemmatise(df, "t", lemmas, "n").select("k", "n")) == want
+    assert rows(mentions.lemmatise(df, "t", lemmas, "n", rows=1).select("k", "n")) == want
     known = {"готовила": "готовить", "рыбу": "рыба"}
     assert rows(mentions.lemmatise_with(df, "t", lambda w: known.get(w, w), "n").select("k", "n")) == want
 
@@ -284,6 +305,25 @@ def test_histogram_last_bin_is_closed(spark):
     assert [(r.bin, r["count"]) for r in explore.histogram(flat, "x", 5).collect()] == [(0, 2)]
 
 
+def test_whole_text_across_any_position(spark):
+    df = spark.range(995, 1006).select(F.lit(1).alias("k"), F.col("id").alias("p"), F.col("id").cast("string").alias("t"))
+    (row,) = explore.reassemble(df.repartition(3), "k", "p", "t").collect()
+    assert row.t == ".".join(map(str, range(995, 1006)))
+
+
+def test_haversine_of_nan(spark):
+    from venuemart.functions.geo import haversine
+
+    df = spark.createDataFrame([(float("nan"), 1.0)], "a double, b double")
+    assert math.isnan(df.select(haversine(F.col("a"), F.col("b"), F.col("b"), F.col("b")).alias("d")).first().d)
+
+
+def test_token_counts(spark):
+    df = spark.createDataFrame([(["b", "a", "b", ""],), ([],), (None,)], "w array<string>")
+    got = [r.c for r in df.select(mentions.token_counts(F.col("w")).alias("c")).collect()]
+    assert [[tuple(x) for x in c or []] for c in got] == [[("", 1), ("a", 1), ("b", 2)], [], []]
+
+
 def test_reassemble_in_parts(spark):
     df = spark.range(25).select(F.lit(1).alias("k"), F.col("id").alias("p"), F.col("id").cast("string").alias("t"))
     parts = [r.t for r in explore.reassemble(df.repartition(5), "k", "p", "t", chunk=10).orderBy("part").collect()]

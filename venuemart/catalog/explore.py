@@ -177,22 +177,31 @@ def seeded_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    "SELECT conv_id, CAST(turn // 1000 AS BIGINT) AS part, string_agg(text, '.' ORDER BY turn) AS text FROM conversations "
-    "GROUP BY conv_id, turn // 1000"
+    "SELECT conv_id, string_agg(text, '.' ORDER BY turn) AS text FROM conversations GROUP BY conv_id"
 )
 def reassemble_text(spark: SparkSession, sf: str) -> DataFrame:
     return explore.reassemble(table(spark, sf, "conversations"), "conv_id", "turn", "text")
 
 
+@query(
+    "SELECT doc_id, CAST(pos // 3 AS BIGINT) AS part, string_agg(s, '.' ORDER BY pos) AS text FROM (SELECT doc_id, unnest(p) AS s, "
+    "generate_subscripts(p, 1) - 1 AS pos FROM (SELECT doc_id, string_split(text, '.') AS p FROM documents)) GROUP BY doc_id, pos // 3"
+)
+def reassemble_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """The sentences of a document put together again, three at a time."""
+    pieces = F.posexplode(F.split("text", "[.]")).alias("pos", "text")
+    return explore.reassemble(table(spark, sf, "documents").select("doc_id", pieces), "doc_id", "pos", "text", chunk=3)
+
+
 @query("SELECT doc_id, lang, NULL::INTEGER AS quality FROM documents UNION ALL SELECT doc_id, NULL, quality FROM labels")
 def union_by_name(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("lang", "doc_id")
     return docs.unionByName(table(spark, sf, "labels").select("quality", "doc_id"), allowMissingColumns=True)
 
 
-@query("SELECT l.doc_id, d.lang, d.n_chars, d.source, l.quality, l.toxic FROM labels l JOIN documents d USING (doc_id)")
+@query("SELECT l.doc_id, d.lang, d.n_chars, d.source, d.text, l.quality, l.toxic FROM labels l JOIN documents d USING (doc_id)")
 def column_difference_join(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").drop("text")
+    docs = table(spark, sf, "documents")
     return explore.join_missing_columns(docs, table(spark, sf, "labels"), ["doc_id"])
 
 

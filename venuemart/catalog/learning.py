@@ -100,7 +100,7 @@ def text_features(spark: SparkSession, sf: str) -> DataFrame:
     training, _, n = _split(spark, sf)
     model = train.sentiment_pipeline(n, n_components=100).fit(training)
     docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("review"))
-    return reviews.text_features(docs, "review", ["doc_id"], scorer=features.model_scorer(model)).drop("review")
+    return reviews.text_features(docs, "review", scorer=features.model_scorer(model)).drop("review")
 
 
 @query()

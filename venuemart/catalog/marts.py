@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,8 +126,7 @@ def _scratch(spark: SparkSession, name: str) -> str:
     from venuemart.session import use_checkpoints
 
     use_checkpoints(spark)
-    root = spark.sparkContext.getCheckpointDir()
-    return f"{root}/{name}-{next(tempfile._get_candidate_names())}"
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, concat(o_orderpriority, chr(10), '\"a\", b') AS note, "
@@ -161,7 +160,7 @@ def tsv_splits(spark: SparkSession, sf: str) -> DataFrame:
     for part in range(3):
         paths.append(_scratch(spark, f"tsv{part}"))
         labels.where(F.col("doc_id") % 3 == part).write.option("sep", "\t").csv(paths[-1])
-    return files.read_csv(spark, paths, "doc_id long, quality int", sep="\t", header=False)
+    return files.read_csv(spark, paths, "doc_id long, quality int", sep="\t", header=False, multi_line=False)
 
 
 @query("SELECT doc_id, quality, CASE WHEN doc_id % 2 = 0 THEN toxic END AS toxic FROM labels")
@@ -171,7 +170,27 @@ def csv_union_by_name(spark: SparkSession, sf: str) -> DataFrame:
     labels = table(spark, sf, "labels")
     labels.where("doc_id % 2 = 0").select("toxic", "doc_id", "quality").write.mode("append").option("header", True).csv(folder)
     labels.where("doc_id % 2 = 1").select("quality", "doc_id").write.mode("append").option("header", True).csv(folder)
-    return files.read_csv_by_name(spark, folder, "doc_id long, quality int, toxic int")
+    return files.read_by_name(spark, folder, "doc_id long, quality int, toxic int")
+
+
+@query(
+    "SELECT global_id, round(avg(rating), 8) AS rating FROM (SELECT global_id, src, avg(rating) AS rating FROM (SELECT l_suppkey AS global_id, "
+    "l_orderkey % 3 AS src, CAST(l_linenumber AS INTEGER) AS rating FROM lineitem) GROUP BY global_id, src) GROUP BY global_id"
+)
+def ratings_of_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Star tables of three sources, in 1, 4 and 16 part files, two formats: each source counts once."""
+    from venuemart.plans import jobs
+
+    folder = _scratch(spark, "stars")
+    stars = table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").alias("global_id"), F.lit("food").alias("aspect_stars"), F.lit("u").alias("url"),
+        F.col("l_linenumber").cast("int").alias("rating"), (F.col("l_orderkey") % 3).alias("src"),
+    )
+    for source, parts, kind in ((0, 1, "csv"), (1, 4, "parquet"), (2, 16, "csv")):
+        part = stars.where(F.col("src") == source).drop("src").repartition(parts)
+        files.write(part, f"{folder}/source{source}.{kind}", kind)
+    jobs.collect_aspects(spark, folder, f"{folder}-rating")
+    return spark.read.parquet(f"{folder}-rating").select("global_id", rounded(F.col("rating"), 8).alias("rating"))
 
 
 @query("SELECT c.c_nationkey AS nation, CAST(n AS BIGINT) AS customers, n > 0 AS from_file FROM (SELECT c_nationkey, count(*) AS n "

@@ -106,7 +106,7 @@ def card_fields(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"SELECT {_CARD_COLUMNS}, concat('https://venues.example.org/r/', c_custkey) AS link, concat('p/', c_custkey // 10) AS url, "
-       "'2022-09-09 20:24:22' AS dttm, concat('chunk_', c_custkey // 10, '.json') AS fname FROM customer WHERE (c_custkey // 10) % 7 > 0")
+       "'2031-02-03 04:05:06' AS dttm, concat('chunk_', c_custkey // 10, '.json') AS fname FROM customer WHERE (c_custkey // 10) % 7 > 0")
 def listing_table(spark: SparkSession, sf: str) -> DataFrame:
     """Whole listing pages: cards cut from the page, fields parsed, links resolved, duplicate links dropped."""
     cards = _cards(spark, sf)
@@ -118,7 +118,7 @@ def listing_table(spark: SparkSession, sf: str) -> DataFrame:
     # Small pages, costly to parse: spread over all cores rather than by size.
     cut = pages.listing_pages(saved.repartition(spark.sparkContext.defaultParallelism, "url"), strict=True)
     envelope = cut.select(
-        (F.col("page") % 7 > 0).alias("ok"), "url", F.lit("2022-09-09 20:24:22").alias("dttm"),
+        (F.col("page") % 7 > 0).alias("ok"), "url", F.lit("2031-02-03 04:05:06").alias("dttm"),
         F.concat(F.lit("chunk_"), "page", F.lit(".json")).alias("fname"), F.struct("cards").alias("data"),
     )
     twice = envelope.unionByName(envelope.withColumn("fname", F.concat(F.lit("later_"), "fname")))

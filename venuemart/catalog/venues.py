@@ -62,7 +62,7 @@ def customer_listing(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("Москва").alias("city"),
         F.concat(F.lit("n"), "c_nationkey").alias("address"),
         F.lit("https://venues.example.org/restaurants/").alias("url"),
-        F.lit("2022-09-09 20:24:22").alias("dttm"),
+        F.lit("2031-02-03 04:05:06").alias("dttm"),
         F.lit("chunk.json").alias("fname"),
     )
 
@@ -236,7 +236,7 @@ def sentinel_to_null(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"SELECT c_custkey AS global_id, CAST(c_nationkey AS INTEGER) AS Number, c_name AS Name, c_mktsegment AS TypeObject, "
+    f"SELECT c_custkey AS global_id, CAST(c_nationkey AS INTEGER) AS Number, c_name AS Name, c_mktsegment AS TypeObject, c_mktsegment AS WebSite, "
     f"concat('1', c_custkey) AS phone1, concat('2', c_custkey) AS phone2, {sql.rnd(sql.lon('c_custkey'), 6)} AS x_coord, "
     f"{sql.rnd(sql.lat('c_custkey'), 6)} AS y_coord FROM customer"
 )
@@ -244,15 +244,17 @@ def record_flatten(spark: SparkSession, sf: str) -> DataFrame:
     raw = table(spark, sf, "customer").select(
         F.concat(
             F.lit('{"global_id":'), "c_custkey", F.lit(',"Number":'), "c_nationkey", F.lit(',"Cells":{"Name":"'), "c_name",
-            F.lit('","TypeObject":"'), "c_mktsegment", F.lit('","PublicPhone":[{"PublicPhone":"1'), "c_custkey",
+            F.lit('","TypeObject":"'), "c_mktsegment", F.lit('","WebSite":"'), "c_mktsegment", F.lit('","PublicPhone":[{"PublicPhone":"1'), "c_custkey",
             F.lit('"},{"PrivatePhone":"2'), "c_custkey", F.lit('"}],"geoData":{"coordinates":['), lon("c_custkey"), F.lit(","),
             lat("c_custkey"), F.lit("]}}}"),
         ).alias("json")
     )
-    parsed = raw.select(F.from_json("json", schemas.REGISTER_RAW).alias("r")).select("r.*")
+    # A field that the export has and this schema declares beside the usual ones.
+    wider = schemas.REGISTER_RAW.replace("PublicPhone:", "WebSite: string, PublicPhone:")
+    parsed = raw.select(F.from_json("json", wider).alias("r")).select("r.*")
     flat = register.flatten_register(parsed)
     return flat.select(
-        "global_id", "Number", "Name", "TypeObject", F.col("PublicPhone")[0].alias("phone1"),
+        "global_id", "Number", "Name", "TypeObject", "WebSite", F.col("PublicPhone")[0].alias("phone1"),
         F.col("PublicPhone")[1].alias("phone2"), rounded(F.col("x_coord"), 6).alias("x_coord"),
         rounded(F.col("y_coord"), 6).alias("y_coord"),
     )

@@ -14,7 +14,8 @@ def haversine(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
     h = F.pow(F.sin((lat2 - lat1) / 2), F.lit(2)) + F.cos(lat1) * F.cos(lat2) * F.pow(
         F.sin((lon2 - lon1) / 2), F.lit(2)
     )
-    return F.lit(2 * EARTH_RADIUS) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
+    # `least` would take 1 for a NaN.
+    return F.lit(2 * EARTH_RADIUS) * F.asin(F.sqrt(F.when(F.isnan(h), h).otherwise(F.least(h, F.lit(1.0)))))
 
 
 def _unit_sphere(lon: Column, lat: Column) -> list[Column]:

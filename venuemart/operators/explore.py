@@ -36,7 +36,7 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def coverage(found: DataFrame, everything: DataFrame, key: str, approximate: bool = False) -> DataFrame:
-    """Share of the distinct keys of `everything` that occur in `found`, with both counts."""
+    """Distinct keys of `found`, of `everything`, and the share of the former; keys are counted, not compared."""
     distinct = (lambda c: F.approx_count_distinct(c)) if approximate else (lambda c: F.count_distinct(c))
     n_found = found.agg(distinct(F.col(key)).alias("n")).scalar()
     return everything.agg(distinct(F.col(key)).alias("total")).select(
@@ -79,18 +79,16 @@ def top_k(df: DataFrame, k: int, column: str, ties: list[str], largest: bool = T
     return df.where(F.col(column).isNotNull()).orderBy(first, *ties).limit(k)
 
 
-def reassemble(df: DataFrame, key: str, position: str, text: str, glue: str = ".", chunk: int = 1000) -> DataFrame:
-    """Texts of a key joined in order of position: key, part, text.
+def reassemble(df: DataFrame, key: str, position: str, text: str, glue: str = ".", chunk: int | None = None) -> DataFrame:
+    """The text of each key, its rows joined in order of position: key, text.
 
-    A text is returned in parts, one per `chunk` positions (part = position / chunk), since one key may hold
-    more rows than fit one cell; positions must be unique per key. Parts in order make the whole text.
+    Positions must be unique per key. Where a key's text may not fit one cell, ask for `chunk`: then a text
+    comes in parts (key, part, text), one for every `chunk` positions; parts in order make the whole text.
     """
     ordered = F.array_sort(F.collect_list(F.struct(F.col(position).alias("p"), F.col(text).alias("t"))))
-    return (
-        df.groupBy(key, F.floor(F.col(position) / chunk).alias("part"))
-        .agg(F.array_join(F.transform(ordered, lambda r: r["t"]), glue).alias(text))
-        .select(key, "part", text)
-    )
+    whole = F.array_join(F.transform(ordered, lambda r: r["t"]), glue).alias(text)
+    parts = [] if chunk is None else [F.floor(F.col(position) / chunk).alias("part")]
+    return df.groupBy(key, *parts).agg(whole)
 
 
 def join_missing_columns(wide: DataFrame, narrow: DataFrame, keys: list[str]) -> DataFrame:

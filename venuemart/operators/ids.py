@@ -58,13 +58,17 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     )
 
 
-def seeded_rank(df: DataFrame, key: str, seed: int, strata: list[str]) -> DataFrame:
+def seeded_rank(df: DataFrame, key: str, seed: int, strata: list[str], slice_rows: int = 100_000) -> DataFrame:
     """Add `rank` (1-based) in the seeded order and `size`, both per stratum.
 
-    A stratum may be a third of the table, so it is cut into 4096 slices by the hash prefix: slice sizes
-    give the rank of each slice's first row, and rows are ranked inside their slice.
+    A stratum may be a third of the table, so it is cut into slices by the hash prefix, long enough for about
+    `slice_rows` rows at most: slice sizes give the rank of each slice's first row, and rows are ranked inside
+    their slice.
     """
-    keyed = df.withColumn("_order", seeded_order(F.col(key), seed)).withColumn("_slice", F.substring("_order", 1, 3))
+    digits, rows = 1, df.count()
+    while rows > slice_rows * 16**digits:
+        digits += 1
+    keyed = df.withColumn("_order", seeded_order(F.col(key), seed)).withColumn("_slice", F.substring("_order", 1, digits))
     slices = keyed.groupBy(*strata, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     in_stratum = Window.partitionBy(*strata)
     before = in_stratum.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -3,15 +3,31 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venuemart.functions.text import BLANK, map_values_of, tokens
+from venuemart.functions.text import BLANK, tokens
 from venuemart.lexicons import DISH_LEMMAS
-from venuemart.operators.skew import BROADCAST_ROWS, lookup_join
+from venuemart.operators.skew import BROADCAST_ROWS, lookup_join, skew_join
+from venuemart.session import use_checkpoints
 
-# A lexicon up to this size is written into the plan as literals.
-INLINE_WORDS = 1000
+# Words that are looked for before the tokens are counted; a longer lexicon is met by the counted tokens alone.
+FILTERED_WORDS = 1000
+
+
+def token_counts(words: Column) -> Column:
+    """Distinct elements of an array with their number, array<struct<token, count>>, in one sorted pass."""
+    ordered = F.array_sort(words)
+    size = F.size(words)
+    starts = lambda s: F.filter(
+        F.sequence(F.lit(0), size - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1))
+    )
+    runs = lambda s, p: F.transform(
+        p, lambda at, k: F.struct(F.get(s, at).alias("token"), (F.coalesce(F.get(p, k + 1), size) - at).cast("long").alias("count"))
+    )
+    # An array of one element binds its value to a name, so that lambdas do not sort once per element.
+    bound = F.transform(F.array(ordered), lambda s: F.element_at(F.transform(F.array(starts(s)), lambda p: runs(s, p)), 1))
+    return F.when(size > 0, F.element_at(bound, 1))
 
 
 def find_mentions(
@@ -24,37 +40,24 @@ def find_mentions(
 ) -> DataFrame:
     """How often each lexicon word occurs in a row's tokens: keys, aspect, value, count and the features.
 
-    `lexicon` maps a lemma to the value reported. A short one is looked up inside the row, without any
-    shuffle; a table (lemma, value; lemmas unique) is joined. Rows without mentions give none. With a table,
-    `keys` must identify a row.
+    `lexicon` maps a lemma to the value reported, as a dict or as a table (lemma, value; lemmas unique). A row
+    gives one mention per lemma it holds, also where lemmas share a value. Tokens are counted inside the row;
+    the counts meet the lexicon in a join that sends a small one to every task.
     """
     features = features or []
-    if isinstance(lexicon, dict) and len(lexicon) > INLINE_WORDS:
-        lexicon = df.sparkSession.createDataFrame(list(lexicon.items()), "lemma string, value string")
+    spark = df.sparkSession
+    found = F.split(F.col(text), f"(?U){BLANK}+")
     if isinstance(lexicon, dict):
-        words = list(lexicon)
-        found = F.filter(F.split(F.col(text), f"(?U){BLANK}+"), lambda t: t.isin(words))
-        hits = df.select(*keys, *features, found.alias("_hits"))
-        counted = F.transform(
-            F.array_distinct("_hits"),
-            lambda w: F.struct(
-                w.alias("lemma"), F.size(F.filter("_hits", lambda h: h == w)).cast("long").alias("count")
-            ),
-        )
-        # The outer explode keeps Spark from testing the array, and so computing it, once more beforehand.
-        found = hits.select(*keys, *features, F.explode_outer(counted).alias("_m")).where("_m is not null")
-        value = map_values_of(F.col("_m.lemma"), lexicon)
-        return found.select(
-            *keys, F.lit(aspect).alias("aspect"), value.alias("value"), F.col("_m.count").alias("count"), *features
-        )
-    spread = df.select(*keys, F.explode_outer(tokens(F.col(text))).alias("lemma"))
-    found = (
-        lookup_join(spread, lexicon.select("lemma", "value"), ["lemma"])
-        .groupBy(*keys, "value")
-        .agg(F.count(F.lit(1)).alias("count"))
-        .select(*keys, F.lit(aspect).alias("aspect"), "value", "count")
-    )
-    return with_features(found, df, keys, features)
+        if len(lexicon) <= FILTERED_WORDS:
+            words = list(lexicon)
+            found = F.filter(found, lambda t: t.isin(words))
+        lexicon = spark.createDataFrame(list(lexicon.items()), "lemma string, value string")
+    hits = df.select(*keys, *features, found.alias("_hits"))
+    # The outer explode keeps Spark from testing the array, and so computing it, once more beforehand.
+    counted = hits.select(*keys, *features, F.explode_outer(token_counts(F.col("_hits"))).alias("_m")).where("_m is not null")
+    counted = counted.select(*keys, *features, F.col("_m.token").alias("lemma"), F.col("_m.count").alias("count"))
+    met = lookup_join(counted, lexicon.select("lemma", "value"), ["lemma"])
+    return met.select(*keys, F.lit(aspect).alias("aspect"), "value", "count", *features)
 
 
 def with_features(mentions: DataFrame, df: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
@@ -64,24 +67,30 @@ def with_features(mentions: DataFrame, df: DataFrame, keys: list[str], features:
     return mentions.join(df.select(*keys, *features), keys, "left").select(*mentions.columns, *features)
 
 
-def lemmatise(df: DataFrame, text: str, keys: list[str], lemmas: DataFrame, out: str) -> DataFrame:
-    """Replace every token by its lemma; unknown tokens stay. `keys` must identify a row.
+def lemmatise(df: DataFrame, text: str, lemmas: DataFrame, out: str, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Replace every token by its lemma; unknown tokens stay.
 
-    `lemmas` is a table (token, lemma), tokens unique. Rows are spread by key once; tokens are looked up and
-    put together again inside those partitions, so a small table costs no shuffle of tokens.
+    `lemmas` is a table (token, lemma), tokens unique. Up to `rows` of them are sent to every task, which looks
+    the tokens up row by row without a shuffle. A larger table meets the tokens in a balanced join; they are
+    put together again by a row number, so no column of `df` needs to be a key.
     """
-    spread = df.select(*keys, text).repartition(*keys)
-    words = spread.select(*keys, F.posexplode_outer(tokens(F.col(text))).alias("_pos", "token"))
-    words = words.where("token is not null")
-    looked_up = lookup_join(words, lemmas.select("token", "lemma"), ["token"], "left", BROADCAST_ROWS)
+    spark = df.sparkSession
+    held = lemmas.select("token", "lemma").where("token is not null and lemma is not null")
+    small = held.limit(rows + 1).toPandas()
+    if len(small) <= rows:
+        sent = spark.sparkContext.broadcast(dict(zip(small["token"], small["lemma"])))
+        return lemmatise_with(df, text, lambda w: sent.value.get(w, w), out)
+    use_checkpoints(spark)
+    rows_of = df.withColumn("_rid", F.monotonically_increasing_id()).checkpoint()
+    words = rows_of.select("_rid", F.posexplode(tokens(F.col(text))).alias("_pos", "token"))
+    looked_up = skew_join(words, held, ["token"], "left")
     order = F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("lemma", "token").alias("w"))))
-    joined = F.array_join(F.transform(order, lambda p: p["w"]), " ")
-    rewritten = looked_up.groupBy(*keys).agg(joined.alias("_lemmas"))
+    rewritten = looked_up.groupBy("_rid").agg(F.array_join(F.transform(order, lambda p: p["w"]), " ").alias("_lemmas"))
     # A text without tokens has no group: NULL stays NULL, blank becomes empty.
     return (
-        df.join(rewritten, keys, "left")
+        rows_of.join(rewritten, "_rid", "left")
         .withColumn(out, F.when(F.col(text).isNotNull(), F.coalesce("_lemmas", F.lit(""))))
-        .drop("_lemmas")
+        .drop("_lemmas", "_rid")
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from venuemart.operators.skew import skew_join
 
+# The columns of the final table, in its order.
 REGISTER_COLUMNS = ["global_id", "Name", "Address", "SeatsCount", "SocialPrivileges", "x_coord", "y_coord"]
 LISTING_COLUMNS = ["url", "cuisine", "phone", "avg_check", "global_id", "opening_hours"]
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.types import _parse_datatype_string
 
 from venuemart import schemas
 from venuemart.ml.train import sentiment_pipeline
@@ -20,6 +22,13 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def _any_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table as it is: Parquet, or CSV with header whose columns stay text."""
+    if path.rstrip("/").endswith(".csv"):
+        return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return spark.read.parquet(path)
+
+
 def write_table(df: DataFrame, path: str) -> None:
     files.write(df, path, "csv" if path.rstrip("/").endswith(".csv") else "parquet")
 
@@ -27,16 +36,21 @@ def write_table(df: DataFrame, path: str) -> None:
 def concat_data(
     spark: SparkSession, input: str, output: str, schema: str, is_list: bool = False, format: str = "json"
 ) -> None:
-    """Merge a folder of JSON files. `schema` is a row schema, or a plain type such as `int`."""
-    if " " in schema:
+    """Merge a folder of JSON files.
+
+    `schema` is a row schema (files of one object or of a list of objects, `is_list` or not), or the type of a
+    plain value such as `int` or `array<struct<a: int>>`; with `is_list` files hold lists of it.
+    """
+    if isinstance(_parse_datatype_string(schema), T.StructType) and not schema.lstrip().lower().startswith("struct<"):
         data = files.read_json_folder(spark, input, schema)
     else:
         data = files.read_json_values(spark, input, schema, is_list)
     files.write(data, output, format)
 
 
-def process_register(spark: SparkSession, input: str, output: str) -> None:
-    write_table(register.flatten_register(files.read_json_folder(spark, input, schemas.REGISTER_RAW)), output)
+def process_register(spark: SparkSession, input: str, output: str, schema: str = schemas.REGISTER_RAW) -> None:
+    """Every field of `Cells` that the schema declares becomes a column."""
+    write_table(register.flatten_register(files.read_json_folder(spark, input, schema)), output)
 
 
 def register_mart(spark: SparkSession, input: str, output: str, strict_reference: bool = False) -> None:
@@ -119,11 +133,13 @@ def create_aspects(
 
 
 def collect_named_aspects(spark: SparkSession, input: str, output: str) -> None:
-    write_table(reviews.named_aspects(files.read_csv_by_name(spark, input, schemas.MENTION_SCORED)), output)
+    """`input`: a folder of mention tables, CSV or Parquet, one per source, or one such table."""
+    write_table(reviews.named_aspects(files.read_by_name(spark, input, schemas.MENTION_SCORED)), output)
 
 
 def collect_aspects(spark: SparkSession, input: str, output: str, scaled: bool = False) -> None:
-    stars = files.read_csv_by_name(spark, input, schemas.STAR_ASPECT, fname="fname")
+    """`input`: a folder of star tables, CSV or Parquet, one per source; `fname` is the table's path."""
+    stars = files.read_by_name(spark, input, schemas.STAR_ASPECT, source="fname")
     write_table(reviews.venue_ratings(stars, scaled), output)
 
 
@@ -132,7 +148,7 @@ def create_final_dataset(
 ) -> None:
     """Register mart, main listing table and venue ratings (Parquet)."""
     rows = final.final_table(
-        spark.read.parquet(input), spark.read.parquet(input_listing), read_table(spark, input_rating, schemas.RATING)
+        _any_table(spark, input), _any_table(spark, input_listing), read_table(spark, input_rating, schemas.RATING)
     )
     write_table(rows, output)
 
@@ -151,7 +167,7 @@ def train_sentiment_model(spark: SparkSession, input: str, output: str, **settin
 def load_sentiment(spark: SparkSession, reviews_tsv: str, splits: list[str], output_reviews: str, output_splits: str):
     """Tab-separated labelled texts with a header, and header-less splits of another set, to tables."""
     write_table(files.read_csv(spark, reviews_tsv, schemas.SENTIMENT_RAW, sep="\t"), output_reviews)
-    write_table(files.read_csv(spark, splits, schemas.SENTIMENT_RAW, sep="\t", header=False), output_splits)
+    write_table(files.read_csv(spark, splits, schemas.SENTIMENT_RAW, sep="\t", header=False, multi_line=False), output_splits)
 
 
 def page_frontier(spark: SparkSession, input: str, cache: str, output: str, limit: int | None = None) -> None:

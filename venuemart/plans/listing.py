@@ -12,6 +12,7 @@ from venuemart.operators.ids import checkpoint_sorted, first_per_key, number_row
 from venuemart.operators.match import match_listing
 from venuemart.sources.pages import detail_rows, listing_rows
 
+# The columns of the main listing table, in its order.
 MAIN_COLUMNS = [
     "url", "dttm", "fname", "title", "rating", "cuisine", "phone", "city", "address", "x_coord", "y_coord",
     "avg_check", "opening_hours", "street_address", "street_locality", "global_id",

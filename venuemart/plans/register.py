@@ -6,17 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from venuemart import lexicons, schemas
+from venuemart import lexicons
 from venuemart.functions.address import with_address_parts
 from venuemart.functions.text import name_norm
-from venuemart.operators.skew import with_group_values
+from venuemart.operators.skew import with_group_values, with_values_of_groups
 from venuemart.session import use_checkpoints
 
 
 def flatten_register(raw: DataFrame) -> DataFrame:
     """One flat row per register record; ids inside `Cells` win over the outer ones."""
-    cells = [c for c in schemas.REGISTER_CELLS if c in raw.schema["Cells"].dataType.names]
     inner = raw.schema["Cells"].dataType.names
+    # All fields that the schema declares, but for those that are handled apart.
+    cells = [c for c in inner if c not in ("global_id", "Number", "PublicPhone", "geoData")]
 
     def own(name: str) -> Column:
         return F.coalesce(f"Cells.{name}", name).alias(name) if name in inner else F.col(name)
@@ -26,7 +27,7 @@ def flatten_register(raw: DataFrame) -> DataFrame:
     return raw.select(
         own("global_id"),
         own("Number"),
-        *[F.col(f"Cells.{c}") for c in cells],
+        *[F.col(f"Cells.`{c}`").alias(c) for c in cells],
         phones.alias("PublicPhone"),
         F.try_element_at(place, F.lit(1)).alias("x_coord"),
         F.try_element_at(place, F.lit(2)).alias("y_coord"),
@@ -57,5 +58,10 @@ def register_mart(register: DataFrame, strict_reference: bool = False) -> DataFr
     # Read three times below; stored once, so the address patterns run once.
     use_checkpoints(register.sparkSession)
     rows = rows.checkpoint()
-    rows = with_group_values(rows, ["OperatingCompany"], OperatingCompany_count=F.count("Name"))
-    return with_group_values(rows, ["Name_norm"], Name_norm_count=F.count("Name_norm"))
+    return with_values_of_groups(
+        rows,
+        {
+            ("OperatingCompany",): {"OperatingCompany_count": F.count("Name")},
+            ("Name_norm",): {"Name_norm_count": F.count("Name_norm")},
+        },
+    )

@@ -20,7 +20,6 @@ MENTION_FEATURES = ["source", "url", *SCORE_LABELS]
 def text_features(
     df: DataFrame,
     text: str,
-    keys: list[str] = SENTENCE_KEYS,
     lemmas: DataFrame | None = None,
     scorer: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
@@ -34,7 +33,7 @@ def text_features(
     if lemmas is None:
         out = out.withColumn(norm, F.col(standard))
     else:
-        out = lemmatise(out, standard, keys, lemmas, norm)
+        out = lemmatise(out, standard, lemmas, norm)
     if scorer is not None:
         out = scorer(out, standard)
     missing = {label: F.lit(0.0) for label in SCORE_LABELS if label not in out.columns}
@@ -68,9 +67,9 @@ def named_aspects(mentions: DataFrame) -> DataFrame:
 
 
 def venue_ratings(stars: DataFrame, scaled: bool = False) -> DataFrame:
-    """Mean over files of the mean rating per venue and file.
+    """Mean over sources (`fname`) of the mean rating per venue and source.
 
-    `scaled` adds the same mean over the ratings transformed and scaled per file.
+    `scaled` adds the same mean over the ratings transformed and scaled per source.
     """
     keys = ["global_id", "fname"]
     per_file = stars.dropna(subset=keys).groupBy(*keys).agg(F.avg("rating").alias("rating"))

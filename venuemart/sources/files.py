@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import csv
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,15 +39,16 @@ def read_csv(
     schema: str | T.StructType,
     sep: str = ",",
     header: bool = True,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """CSV with quoted line breaks. Array, map and struct columns are read back from JSON text."""
+    """CSV, by default with quoted line breaks (then each file is read by one task). Array, map and struct columns are read back from JSON text."""
     wanted = _schema(schema)
     raw = T.StructType([T.StructField(f.name, _flat_type(f.dataType), True) for f in wanted.fields])
     df = (
         spark.read.schema(raw)
         .option("sep", sep)
         .option("header", header)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .csv(paths)
@@ -60,42 +61,77 @@ def _flat_type(t: T.DataType) -> T.DataType:
     return T.StringType() if isinstance(t, (T.ArrayType, T.MapType, T.StructType)) else t
 
 
-def read_csv_by_name(spark: SparkSession, folder: str, schema: str | T.StructType, fname: str | None = None):
-    """All `*.csv` of a folder, columns matched by the header of each file, whatever their order.
+def data_sets(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
+    """(path, format) of the data sets in a folder: files and folders of CSV or Parquet.
 
-    A read of many files would match a declared schema by position, so the files are read as text columns by
-    the widest declared set once per distinct header. `fname` names a column for the source path.
+    A folder that holds part files itself is one data set. Hidden and marker files (`_`, `.`) do not count.
     """
-    wanted = _schema(schema)
-    lines = (
-        spark.read.option("pathGlobFilter", "*.csv")
-        .text(folder)
-        .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
-        .where("at = 0")
-    )
-    # The header is the first line of a file: one row per file, and few distinct headers.
-    heads = (
-        lines.withColumn("_id", F.monotonically_increasing_id())
-        .groupBy("path")
-        .agg(F.min_by("value", "_id").alias("head"))
-        .groupBy("head")
-        .agg(F.collect_list("path").alias("paths"))
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def listed(where) -> list:
+        return [x for x in store.listStatus(where) if x.getPath().getName()[:1] not in "._"]
+
+    def kind(name: str) -> str | None:
+        return next((k for k in ("csv", "parquet") if name.rstrip("/").endswith(f".{k}") or f".{k}." in name), None)
+
+    if not store.exists(path):
+        raise FileNotFoundError(folder)
+    if not store.getFileStatus(path).isDirectory():
+        return [(folder, kind(path.getName()) or "csv")]
+    inside = sorted(listed(path), key=lambda x: x.getPath().getName())
+    if any(x.isFile() and x.getPath().getName().startswith("part-") for x in inside):
+        return [(folder, kind(inside[0].getPath().getName()) or "csv")]
+    found = []
+    for x in inside:
+        name = x.getPath().getName()
+        form = next((k for y in listed(x.getPath()) if (k := kind(y.getPath().getName()))), None) if x.isDirectory() else kind(name)
+        if form:
+            found.append((x.getPath().toString(), form))
+        elif not x.isDirectory() or listed(x.getPath()):
+            raise ValueError(f"neither CSV nor Parquet: {x.getPath().toString()}")
+    return found
+
+
+def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files by their first line. A file's first line is the first row that its first split gives."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at")
     )
+    first = lines.where("at = 0").withColumn("_id", F.monotonically_increasing_id()).groupBy("path")
+    out: dict[str, list[str]] = {}
+    for row in first.agg(F.min_by("value", "_id").alias("head")).toLocalIterator():
+        out.setdefault(row["head"], []).append(unquote(row["path"]))
+    return out
+
+
+def read_by_name(spark: SparkSession, folder: str, schema: str | T.StructType, source: str | None = None, multi_line: bool = False):
+    """All data sets of a folder, CSV and Parquet, columns matched by name; missing ones are NULL.
+
+    `source` names a column for the path of the data set a row comes from, a file or a folder, however many
+    part files that has. CSV headers may differ in the order of columns, also within a data set. An empty
+    folder gives an empty table; something that is neither CSV nor Parquet is an error.
+    """
+    wanted = _schema(schema)
+    kinds = {f.name: f for f in wanted.fields}
     out = None
-    for row in heads.toLocalIterator():
-        names = [n.strip('"') for n in re.split(r",", row["head"].lstrip("﻿").rstrip("\r"))]
-        kinds = {f.name: f for f in wanted.fields}
-        found = T.StructType([T.StructField(n, kinds[n].dataType if n in kinds else T.StringType(), True) for n in names])
-        part = read_csv(spark, [unquote(path) for path in row["paths"]], found)
-        if fname:
-            part = part.withColumn(fname, F.col("_metadata.file_path"))
-        part = part.select(*[n for n in names if n in kinds], *([fname] if fname else []))
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    full = T.StructType([*wanted.fields, *([T.StructField(fname, T.StringType())] if fname else [])])
+    for path, form in data_sets(spark, folder):
+        parts = []
+        if form == "parquet":
+            parts.append(spark.read.parquet(path))
+        else:
+            heads = _headers(spark, path)
+            for head, paths in heads.items():
+                names = next(csv.reader([head.lstrip("\ufeff").rstrip("\r")]), [])
+                found = T.StructType([T.StructField(n, kinds[n].dataType if n in kinds else T.StringType()) for n in names])
+                parts.append(read_csv(spark, path if len(heads) == 1 else paths, found, multi_line=multi_line))
+        for part in parts:
+            columns = [F.col(f"`{n}`").cast(f.dataType).alias(n) if n in part.columns else F.lit(None).cast(f.dataType).alias(n) for n, f in kinds.items()]
+            part = part.select(*columns, *([F.lit(path).alias(source)] if source else []))
+            out = part if out is None else out.union(part)
     if out is None:
-        return spark.createDataFrame([], full)
-    missing = {f.name: F.lit(None).cast(f.dataType) for f in wanted.fields if f.name not in out.columns}
-    return out.withColumns(missing).select(*full.names) if missing else out.select(*full.names)
+        return spark.createDataFrame([], T.StructType([*wanted.fields, *([T.StructField(source, T.StringType())] if source else [])]))
+    return out
 
 
 def write(df: DataFrame, path: str, format: str = "json", mode: str = "overwrite") -> None:
