@@ -99,6 +99,21 @@ def test_best_path_by_brute_force():
             assert abs(sum(made[i][1] for i in ids) - best("▁" + t.replace(" ", "▁"))) < 1e-9
 
 
+def test_many_at_once_as_one_by_one(vocabulary):
+    rng = random.Random(11)
+    odd = ["日本", "ℝ", "a" * 30, "x", "\U0001f600", "é###", "''", "<0x0A>"]
+    made = [" ".join(rng.choice([*odd, "".join(rng.choices("abcdeionthr.,é", k=rng.randint(1, 12)))]) for _ in range(50)) for _ in range(40)]
+    made += ["", " ", "a\n\nb ", "▁x ▁▁"]
+    one = pieces.load(FILE)
+    vocabulary.known.clear()
+    vocabulary.prepare(made)
+    assert [vocabulary.encode(t) for t in made] == [one.encode(t) for t in made]
+    # Cuts between characters that no piece joins leave the best path as it is.
+    for t in made:
+        for w in t.split():
+            assert sum((one.segment(x) for x in one._parts("▁" + w)), ()) == one.segment("▁" + w)
+
+
 def test_trie_holds_its_keys():
     rng = random.Random(6)
     keys = sorted({bytes(rng.choices(range(256), k=rng.randint(1, 4))) for _ in range(3000)})

@@ -23,9 +23,11 @@ from venuemart.llm.common import packed, text_of, with_fields
 MARK = "▁"
 #: Texts that a task works on at once; their ids leave before the next ones come.
 AT_ONCE = 256
+#: Characters of the segments that are searched many at a time; longer ones are searched one by one.
+SHORT = 24
 UNKNOWN_COST = 10.0
 #: Segments whose ids a Python worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 
 class DoubleArray:
@@ -100,34 +102,46 @@ class Vocabulary:
         # No piece goes on over a marker or a line feed, so the best path never does either.
         self.splits = all(MARK not in t.lstrip(MARK) for t in texts)
         self.lines = self.splits and not any("\n" in t for t in texts) and len(self.bytes) == 256
+        self.joined = {t[k - 1 : k + 1] for t in texts for k in range(1, len(t))}
+        self.cuts = len(self.bytes) == 256
+        self.arrays = np.array(self.trie.base, np.int32), np.array(self.trie.check, np.int32), np.array(self.scores)
         self.known: dict[str, tuple[int, ...]] = {}
 
     def segment(self, text: str) -> tuple[int, ...]:
         """The ids of the best path; of equal ones the path whose last pieces are longer."""
         data = text.encode()
         n = len(data)
-        best, back = [None] * (n + 1), [None] * (n + 1)
+        best, back, how = [None] * (n + 1), [0] * (n + 1), [None] * (n + 1)
         best[0] = 0.0
-        scores, prefixes = self.scores, self.trie.prefixes
+        scores, base, check = self.scores, self.trie.base, self.trie.check
         for at in range(n):
             here = best[at]
             if here is None:
                 continue
             lead = data[at]
             step = at + (1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4)
-            single = False
-            for end, piece in prefixes(data, at):
-                total = here + scores[piece]
-                if best[end] is None or total > best[end]:
-                    best[end], back[end] = total, (at, piece)
-                single = single or end == step
+            single, state, end = False, 0, at
+            # Walks the trie over all pieces that start here, shortest first.
+            while end < n:
+                to = base[state] + data[end] + 1
+                if check[to] != state:
+                    break
+                state, end = to, end + 1
+                leaf = base[state]
+                if check[leaf] == state:
+                    piece = -1 - base[leaf]
+                    total = here + scores[piece]
+                    if best[end] is None or total > best[end]:
+                        best[end], back[end], how[end] = total, at, piece
+                    if end == step:
+                        single = True
             if not single:
                 total = here + self.least
                 if best[step] is None or total > best[step]:
-                    best[step], back[step] = total, (at, None)
+                    best[step], back[step], how[step] = total, at, None
         out, end = [], n
         while end:
-            at, piece = back[end]
+            at, piece = back[end], how[end]
             if piece is not None:
                 out.append(piece)
             elif len(self.bytes) == 256:
@@ -137,12 +151,95 @@ class Vocabulary:
             end = at
         return tuple(reversed(out))
 
+    def _segments(self, texts: list[str]) -> list[tuple[int, ...]]:
+        """The same for many short texts at once: each step of the search is one array operation over all."""
+        base, check, scores = self.arrays
+        raw = [t.encode() for t in texts]
+        n = np.array([len(r) for r in raw])
+        width = int(n.max())
+        data = np.frombuffer(b"".join(r.ljust(width, b"\0") for r in raw), np.uint8).reshape(len(raw), width).astype(np.int32)
+        best = np.full((len(raw), width + 1), -np.inf)
+        best[:, 0] = 0.0
+        back, how = np.zeros((len(raw), width + 1), np.int32), np.full((len(raw), width + 1), -1, np.int32)
+
+        def reach(rows, end, total, at, piece):
+            better = total > best[rows, end]
+            rows, end = rows[better], end[better] if isinstance(end, np.ndarray) else end
+            best[rows, end], back[rows, end] = total[better], at
+            how[rows, end] = piece[better] if isinstance(piece, np.ndarray) else piece
+
+        for at in range(width):
+            rows = np.flatnonzero((best[:, at] > -np.inf) & (at < n))
+            if not len(rows):
+                continue
+            here, lead = best[rows, at], data[rows, at]
+            step = at + 1 + (lead >= 0xC0) + (lead >= 0xE0) + (lead >= 0xF0)
+            single, walking, state, end = np.zeros(len(rows), bool), np.arange(len(rows)), np.zeros(len(rows), np.int32), at
+            while end < width:
+                to = base[state] + data[rows[walking], end] + 1
+                good = (check[to] == state) & (end < n[rows[walking]])
+                walking, state, end = walking[good], to[good], end + 1
+                if not len(walking):
+                    break
+                leaf = base[state]
+                ends = check[leaf] == state
+                if ends.any():
+                    who, piece = walking[ends], -1 - base[leaf[ends]]
+                    reach(rows[who], end, here[who] + scores[piece], at, piece)
+                    single[who[step[who] == end]] = True
+            if not single.all():
+                reach(rows[~single], step[~single], here[~single] + self.least, at, -1)
+        found = []
+        for r, b, h in zip(raw, back.tolist(), how.tolist(), strict=True):
+            out, end = [], len(r)
+            while end:
+                if h[end] >= 0:
+                    out.append(h[end])
+                else:
+                    out.extend(self.bytes[x] for x in reversed(r[b[end] : end]))
+                end = b[end]
+            found.append(tuple(reversed(out)))
+        return found
+
+    def prepare(self, texts: list[str]) -> None:
+        """Remember the segments of these texts, found many at a time. It changes no result, only the time."""
+        if not (self.lines and self.cuts):
+            return
+        first, later = set(), set()
+        for text in texts:
+            for line in (MARK + text.replace(" ", MARK)).split("\n"):
+                words = line.split(MARK)
+                first.add(words[0])
+                later.update(words[1:])
+        need = {w for w in (*first, *(MARK + w for w in later if w)) if w and w not in self.known}
+        if len(self.known) + 2 * len(need) > REMEMBERED:
+            self.known.clear()
+        cut = {w: self._parts(w) for w in need}
+        new = sorted({x for parts in cut.values() for x in parts if x not in self.known and len(x) <= SHORT}, key=len)
+        for start in range(0, len(new), 4096):
+            part = new[start : start + 4096]
+            self.known.update(zip(part, self._segments(part), strict=True))
+        for w, parts in cut.items():
+            if len(parts) > 1:
+                self.known[w] = tuple(chain.from_iterable(map(self._remembered, parts)))
+
+    def _parts(self, text: str) -> list[str]:
+        """The text cut wherever no piece holds both neighbours; no best path crosses such a place."""
+        if not self.cuts:
+            return [text]
+        joined = self.joined
+        ends = [k for k in range(1, len(text)) if text[k - 1 : k + 1] not in joined]
+        return [text[a:b] for a, b in zip([0, *ends], [*ends, len(text)], strict=True)] if ends else [text]
+
     def _remembered(self, text: str) -> tuple[int, ...]:
         got = self.known.get(text)
         if got is None:
+            parts = self._parts(text)
+            # The parts come again with other neighbours.
+            got = self.segment(text) if len(parts) == 1 else tuple(chain.from_iterable(map(self._remembered, parts)))
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
-            got = self.known[text] = self.segment(text)
+            self.known[text] = got
         return got
 
     def encode(self, text: str) -> list[int]:
@@ -211,7 +308,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text") -> D
     def run(batches):
         own = sent.value
         for batch in slices(batches):
-            ids = _lists([own.encode(t) for t in batch.column("text").to_pylist()])
+            texts = batch.column("text").to_pylist()
+            own.prepare(texts)
+            ids = _lists([own.encode(t) for t in texts])
             yield pa.RecordBatch.from_arrays([batch.column("row"), ids], ["row", "ids"])
 
     return base.mapInArrow(run, with_fields(T.StructType([base.schema["row"]]), T.StructField("ids", T.ArrayType(T.IntegerType()))))
@@ -249,6 +348,7 @@ def encode_and_decode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "do
         own = sent.value
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
+            own.prepare(texts)
             ids = [own.encode(t) for t in texts]
             decoded = [own.decode(x) for x in ids]
             marks = [hashlib.sha256(t.encode()).hexdigest() for t in decoded]
