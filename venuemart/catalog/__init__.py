@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from venuemart.session import use_checkpoints
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder beside the checkpoints, which every executor reaches and which goes with them."""
+    use_checkpoints(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def load() -> None:
     """Import all query modules."""
     from venuemart.catalog import explore, learning, marts, pages, texts, venues  # noqa: F401

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuemart.catalog import query, table
+from venuemart.catalog import query, scratch, table
 from venuemart.catalog import sqltext as sql
-from venuemart.catalog.texts import labelled_texts, rounded
+from venuemart.catalog.texts import LEMMAS, labelled_texts, rounded
 from venuemart.ml import evaluate, features, train
 from venuemart.operators import ids
 from venuemart.plans import reviews
 
+# Components of the classifier's text features.
+COMPONENTS = 300
+
 
 @query(
     r"""WITH c AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text),
@@ -85,30 +90,98 @@ def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
     return scores.select("model", rounded(F.col("macro_f1"), 8).alias("macro_f1"), rounded(F.col("accuracy"), 8).alias("accuracy"))
 
 
-@query()
+_TEST_PART = (
+    f"SELECT doc_id, quality - toxic AS sentiment FROM (SELECT l.*, {sql.clean('d.text')} AS clean, row_number() OVER w AS r, count(*) OVER "
+    "(PARTITION BY quality - toxic) AS n FROM labels l JOIN documents d USING (doc_id) WHERE "
+    f"{sql.clean('d.text')} <> '' WINDOW w AS (PARTITION BY quality - toxic ORDER BY md5(concat('17:', doc_id)), doc_id)) "
+    "WHERE r > n - ceil(n * 0.3::DOUBLE)"
+)
+
+
+@query(f"SELECT doc_id, sentiment, true AS sums_to_one, true AS likeliest, true AS known_label FROM ({_TEST_PART})")
 def train_predict(spark: SparkSession, sf: str) -> DataFrame:
-    """Fit on the training part, label scores and predictions for the test part."""
+    """Fit on the training part; what SQL can say of the scores and predictions of the test part."""
+    training, test, n = _split(spark, sf)
+    model = train.sentiment_pipeline(n, n_components=COMPONENTS).fit(training)
+    return _checked(features.label_scores(model, test, "review")).drop("negative", "neutral", "positive", "predicted")
+
+
+def _checked(scored: DataFrame) -> DataFrame:
+    labels = F.array("negative", "neutral", "positive")
+    return scored.select(
+        "doc_id", "sentiment", "negative", "neutral", "positive", "predicted",
+        (F.abs(F.aggregate(labels, F.lit(0.0), lambda a, v: a + v) - 1) < 1e-9).alias("sums_to_one"),
+        (F.get(labels, F.col("predicted") + 1) == F.array_max(labels)).alias("likeliest"),
+        F.col("predicted").isin(-1, 0, 1).alias("known_label"),
+    )
+
+
+@query(f"SELECT doc_id, true AS same FROM ({_TEST_PART})")
+def saved_model(spark: SparkSession, sf: str) -> DataFrame:
+    """A model file read again scores and predicts as the model did."""
     training, test, n = _split(spark, sf)
-    model = train.sentiment_pipeline(n, n_components=100).fit(training)
-    scored = features.label_scores(model, test, "review")
-    return scored.select("doc_id", "sentiment", "predicted", "negative", "neutral", "positive")
+    model = train.sentiment_pipeline(n, n_components=20).fit(training)
+    path = scratch(spark, "model")
+    model.write().overwrite().save(path)
+    columns = ["negative", "neutral", "positive", "predicted"]
+    first, again = (features.label_scores(m, test, "review") for m in (model, PipelineModel.load(path)))
+    again = again.select("doc_id", F.struct(*columns).alias("again"))
+    return first.join(again, "doc_id").select("doc_id", (F.struct(*columns) == F.col("again")).alias("same"))
+
+
+@query(
+    f"SELECT doc_id, {sql.clean('text')} AS review_standard, array_to_string(list_transform(string_split({sql.clean('text')}, ' '), lambda t: CASE t "
+    + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in LEMMAS)
+    + " ELSE t END), ' ') AS review_norm, " + ", ".join(f"0.0::DOUBLE AS {c}" for c in reviews.SCORE_LABELS) + " FROM documents"
+)
+def text_features_plain(spark: SparkSession, sf: str) -> DataFrame:
+    """Clean text, lemmas, and zeros for labels that no scorer gives."""
+    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("review"))
+    lemmas = spark.createDataFrame(LEMMAS, "token string, lemma string")
+    return reviews.text_features(docs, "review", lemmas).drop("review")
+
+
+@query(
+    "WITH m AS (SELECT sum(a * a) AS aa, sum(a * b) AS ab, sum(b * b) AS bb FROM (SELECT l_quantity::DOUBLE AS a, l_extendedprice::DOUBLE / 1000 AS b "
+    "FROM lineitem)), e AS (SELECT (aa + bb) / 2 AS m, sqrt(((aa - bb) / 2) ** 2 + ab ** 2) AS r, aa, ab FROM m), v AS (SELECT 1 AS i, sqrt(m + r) AS s FROM e "
+    "UNION ALL SELECT 2, sqrt(m - r) FROM e) SELECT i, round(s, 6) AS singular_value, 1.0::DOUBLE AS length, 0.0::DOUBLE AS inner_product FROM v"
+)
+def svd_gram(spark: SparkSession, sf: str) -> DataFrame:
+    """Singular values and right vectors of a table of two columns, against the closed form."""
+    columns = [F.col("l_quantity").cast("double"), F.col("l_extendedprice").cast("double") / 1000]
+    rows = table(spark, sf, "lineitem").select(array_to_vector(F.array(*columns)).alias("tfidf"))
+    model = features.TruncatedSVD(k=2).fit(rows)
+    right = model.pc.toArray()
+    inner = float(abs(right[:, 0] @ right[:, 1]))
+    out = model.transform(rows).select(vector_to_array("components").alias("c"))
+    sums = [F.sqrt(F.sum(F.col("c")[i] * F.col("c")[i])) for i in range(2)]
+    each = [
+        F.struct(F.lit(i + 1).alias("i"), F.round(s, 6).alias("singular_value"), F.lit(round(float(right[:, i] @ right[:, i]), 9)).alias("length"),
+                 F.lit(round(inner, 9)).alias("inner_product"))
+        for i, s in enumerate(sums)
+    ]
+    return out.agg(F.array(*each).alias("e")).select(F.inline("e"))
 
 
 @query()
 def text_features(spark: SparkSession, sf: str) -> DataFrame:
-    """Clean text and the five label scores, by a model fitted on the labelled texts."""
+    """Clean text, lemmas and the five label scores, by a model fitted on the labelled texts."""
     training, _, n = _split(spark, sf)
-    model = train.sentiment_pipeline(n, n_components=100).fit(training)
+    model = train.sentiment_pipeline(n, n_components=COMPONENTS).fit(training)
     docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("review"))
-    return reviews.text_features(docs, "review", scorer=features.model_scorer(model)).drop("review")
+    lemmas = spark.createDataFrame(LEMMAS, "token string, lemma string")
+    return reviews.text_features(docs, "review", lemmas, scorer=features.model_scorer(model)).drop("review")
 
 
-@query()
+@query(
+    "SELECT k AS n_components, c, true AS plausible FROM (VALUES (50), (100)) a(k), (VALUES (0.1::DOUBLE), (1.0::DOUBLE), (10.0::DOUBLE)) b(c)"
+)
 def grid_search(spark: SparkSession, sf: str) -> DataFrame:
-    """Results table of a cross-validated search."""
+    """Keys of the results table of a cross-validated search, and the bounds of its scores."""
     training, _, n = _split(spark, sf)
-    _, results = train.grid_search(training, "doc_id", n, n_components=[20, 50], cs=[0.1, 1.0], folds=4, parallelism=4)
-    return results
+    _, results = train.grid_search(training, "doc_id", n, n_components=[50, 100], cs=[0.1, 1.0, 10.0], folds=4, parallelism=4, max_iter=100)
+    fine = F.col("mean_score").between(0.3, 1) & (F.col("std_score") >= 0) & (F.col("fit_time") > 0)
+    return results.select("n_components", "c", fine.alias("plausible"))
 
 
 @query()

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from venuemart.catalog import query, table
+from venuemart.catalog import query, scratch, table
 from venuemart.catalog import sqltext as sql
 from venuemart.catalog.texts import _POLARITY, rounded, scored_events
 from venuemart.functions.urls import cache_key, hash256
@@ -121,18 +119,10 @@ def dish_leaderboard(spark: SparkSession, sf: str) -> DataFrame:
 # --- files ------------------------------------------------------------------------------------------------
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    """A new folder next to the checkpoints, which every executor reaches."""
-    from venuemart.session import use_checkpoints
-
-    use_checkpoints(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-
-
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, concat(o_orderpriority, chr(10), '\"a\", b') AS note, "
        "concat('[\"', o_orderstatus, '\",\"x\"]') AS tags FROM orders")
 def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    folder = _scratch(spark, "csv")
+    folder = scratch(spark, "csv")
     orders = table(spark, sf, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus",
         F.concat("o_orderpriority", F.lit('\n"a", b')).alias("note"),
@@ -145,7 +135,7 @@ def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT doc_id, quality, toxic FROM labels")
 def json_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    folder = _scratch(spark, "json")
+    folder = scratch(spark, "json")
     labels = table(spark, sf, "labels")
     files.write(labels, folder, "json")
     # The JSON-lines files of the sink are one value per line; read as a folder of chunks they need lines.
@@ -158,7 +148,7 @@ def tsv_splits(spark: SparkSession, sf: str) -> DataFrame:
     labels = table(spark, sf, "labels").select("doc_id", "quality")
     paths = []
     for part in range(3):
-        paths.append(_scratch(spark, f"tsv{part}"))
+        paths.append(scratch(spark, f"tsv{part}"))
         labels.where(F.col("doc_id") % 3 == part).write.option("sep", "\t").csv(paths[-1])
     return files.read_csv(spark, paths, "doc_id long, quality int", sep="\t", header=False, multi_line=False)
 
@@ -166,7 +156,7 @@ def tsv_splits(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT doc_id, quality, CASE WHEN doc_id % 2 = 0 THEN toxic END AS toxic FROM labels")
 def csv_union_by_name(spark: SparkSession, sf: str) -> DataFrame:
     """Files with different column orders, one without a column."""
-    folder = _scratch(spark, "union")
+    folder = scratch(spark, "union")
     labels = table(spark, sf, "labels")
     labels.where("doc_id % 2 = 0").select("toxic", "doc_id", "quality").write.mode("append").option("header", True).csv(folder)
     labels.where("doc_id % 2 = 1").select("quality", "doc_id").write.mode("append").option("header", True).csv(folder)
@@ -181,7 +171,7 @@ def ratings_of_sources(spark: SparkSession, sf: str) -> DataFrame:
     """Star tables of three sources, in 1, 4 and 16 part files, two formats: each source counts once."""
     from venuemart.plans import jobs
 
-    folder = _scratch(spark, "stars")
+    folder = scratch(spark, "stars")
     stars = table(spark, sf, "lineitem").select(
         F.col("l_suppkey").alias("global_id"), F.lit("food").alias("aspect_stars"), F.lit("u").alias("url"),
         F.col("l_linenumber").cast("int").alias("rating"), (F.col("l_orderkey") % 3).alias("src"),
@@ -197,7 +187,7 @@ def ratings_of_sources(spark: SparkSession, sf: str) -> DataFrame:
        "FROM customer GROUP BY c_nationkey) c")
 def file_provenance(spark: SparkSession, sf: str) -> DataFrame:
     """Rows know the file they came from: one folder per nation is written, and read back with its path."""
-    folder = _scratch(spark, "by-nation")
+    folder = scratch(spark, "by-nation")
     table(spark, sf, "customer").select("c_custkey", "c_nationkey").write.partitionBy("c_nationkey").json(folder)
     rows = spark.read.schema("c_custkey long").option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).json(folder)
     rows = files.with_file_name(files.with_file_name(rows, "fname"), "path", full_path=True)
@@ -243,3 +233,70 @@ def cached_pages(spark: SparkSession, sf: str) -> DataFrame:
         cache_key(F.col("url")).alias("key"), (F.col("page_id") % 2 != 0).alias("ok")
     )
     return pages.cached(links, cache)
+
+
+
+# --- chunks and jobs ---------------------------------------------------------------------------------------
+
+
+def _chunk_files(df: DataFrame, name: str) -> str:
+    """The `value` of each row as a `*.json` file of its own partition's part files."""
+    folder = scratch(df.sparkSession, name)
+    n = df.count()
+    numbered = df.withColumn("_n", F.row_number().over(Window.orderBy("value")) - 1)
+    numbered.repartitionByRange(n, "_n").select("value").write.option("lineSep", "\n").text(folder)
+    # The text sink names its files .txt; a JSON reader of whole files takes them by the folder's glob.
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    for x in store.listStatus(path):
+        old = x.getPath()
+        if old.getName().endswith(".txt"):
+            store.rename(old, df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{folder}/{old.getName()[:-4]}.json"))
+    return folder
+
+
+def _by_nation(spark: SparkSession, sf: str, body) -> DataFrame:
+    return table(spark, sf, "customer").groupBy("c_nationkey").agg(F.to_json(body).alias("value")).select("value")
+
+
+def _concat(spark: SparkSession, chunks: DataFrame, schema: str, is_list: bool) -> DataFrame:
+    from venuemart.plans import jobs
+
+    out = scratch(spark, "merged")
+    jobs.concat_data(spark, _chunk_files(chunks, "chunks"), out, schema, is_list)
+    return spark.read.schema(schema if " " in schema else f"value {schema}").json(out)
+
+
+@query("SELECT c_nationkey AS nation, count(*) AS customers FROM customer GROUP BY c_nationkey")
+def concat_objects(spark: SparkSession, sf: str) -> DataFrame:
+    body = F.struct(F.first("c_nationkey").alias("nation"), F.count(F.lit(1)).alias("customers"))
+    return _concat(spark, _by_nation(spark, sf, body), "nation int, customers long", False)
+
+
+@query("SELECT c_custkey, c_mktsegment FROM customer")
+def concat_lists(spark: SparkSession, sf: str) -> DataFrame:
+    body = F.collect_list(F.struct("c_custkey", "c_mktsegment"))
+    return _concat(spark, _by_nation(spark, sf, body), "c_custkey long, c_mktsegment string", True)
+
+
+@query("SELECT c_custkey AS value FROM customer")
+def concat_scalars(spark: SparkSession, sf: str) -> DataFrame:
+    return _concat(spark, _by_nation(spark, sf, F.collect_list("c_custkey")), "long", True)
+
+
+@query("SELECT c_custkey FROM customer WHERE false")
+def concat_nothing(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder without files of the kind asked for."""
+    folder = scratch(spark, "empty")
+    table(spark, sf, "customer").write.parquet(folder)
+    return files.read_json_folder(spark, folder, "c_custkey long")
+
+
+@query("SELECT CASE toxic WHEN 1 THEN 'negative' ELSE 'positive' END AS sentiment, doc_id::VARCHAR AS review FROM labels")
+def tsv_with_header(spark: SparkSession, sf: str) -> DataFrame:
+    labels = table(spark, sf, "labels").select(
+        F.col("doc_id").cast("string").alias("review"), F.when(F.col("toxic") == 1, "negative").otherwise("positive").alias("sentiment")
+    )
+    folder = scratch(spark, "tsv")
+    labels.write.option("sep", "\t").option("header", True).csv(folder)
+    return files.read_csv(spark, folder, "review string, sentiment string", sep="\t", multi_line=False)

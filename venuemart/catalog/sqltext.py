@@ -39,14 +39,14 @@ def haversine(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
 
 
 def boxcox_ctes(data: str, value: str, group: str = "'all'") -> str:
-    """CTEs ending in `lam(g, lmbda)`: the same candidate grids as the operator, by plain cross products."""
-    first = ", ".join(f"({i}, {math.sinh(0.6 * i)!r}::DOUBLE)" for i in range(-10, 11))
+    """CTEs ending in `lam(g, lmbda)`: narrowing grids of their own, finer than the operator's, by plain cross products."""
+    first = ", ".join(f"({i}, {math.sinh(0.5 * i)!r}::DOUBLE)" for i in range(-12, 13))
     out = [
         f"logs AS (SELECT {group} AS g, ln({value}) - avg(ln({value})) OVER (PARTITION BY {group}) AS lg FROM {data} "
         f"WHERE {value} > 0)",
         f"grid0 AS (SELECT gs.g, v.i, v.lam FROM (SELECT DISTINCT g FROM logs) gs, (VALUES {first}) v(i, lam))",
     ]
-    for look in range(4):
+    for look in range(5):
         out.append(
             f"llf{look} AS (SELECT g, i, lam, lag(lam) OVER w AS low, lead(lam) OVER w AS high, llf, "
             f"lag(llf) OVER w AS before, lead(llf) OVER w AS after FROM (SELECT g, i, lam, CASE WHEN isfinite(llf) THEN llf END AS llf FROM (SELECT q.g, q.i, q.lam, "
@@ -57,12 +57,12 @@ def boxcox_ctes(data: str, value: str, group: str = "'all'") -> str:
         out.append(
             f"best{look} AS (SELECT * FROM llf{look} QUALIFY row_number() OVER (PARTITION BY g ORDER BY llf DESC NULLS LAST, i) = 1)"
         )
-        if look < 3:
+        if look < 4:
             out.append(
-                f"grid{look + 1} AS (SELECT g, n AS i, low + n * ((high - low) / 12) AS lam "
-                f"FROM best{look}, generate_series(0, 12) s(n))"
+                f"grid{look + 1} AS (SELECT g, n AS i, low + n * ((high - low) / 16) AS lam "
+                f"FROM best{look}, generate_series(0, 16) s(n))"
             )
     out.append(
-        "lam AS (SELECT g, lam + (high - lam) * 0.5 * (before - after) / (before - 2 * llf + after) AS lmbda FROM best3)"
+        "lam AS (SELECT g, lam + (high - lam) * 0.5 * (before - after) / (before - 2 * llf + after) AS lmbda FROM best4)"
     )
     return ", ".join(out)

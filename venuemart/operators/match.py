@@ -89,7 +89,9 @@ def nearest_namesakes(listing: DataFrame, register: DataFrame, radius: float) ->
 
     part = points.join(chosen, ["side", "name"]).withColumnsRenamed({c: f"{c}_p" for c in points.columns})
     part = _with_cells_within(part.withColumn("side", 1 - F.col("side_p")), "x_coord_p", "y_coord_p", radius)
-    whole = _with_cell(points, *place, radius).withColumn("_gram", F.explode(_grams(F.col("name"))))
+    # Only points in a cube that somebody asks about are cut into grams.
+    asked_cells = part.select("side", *CELL).distinct()
+    whole = _with_cell(points, *place, radius).join(asked_cells, ["side", *CELL], "left_semi").withColumn("_gram", F.explode(_grams(F.col("name"))))
     pairs = whole.join(part, ["side", *CELL, "_gram"]).where(F.contains(F.col("name"), F.col("name_p")))
 
     listed = F.col("side") == 0

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from venuemart.operators.skew import skew_join
+from venuemart.operators.skew import BROADCAST_ROWS, lookup_join, skew_join
 from venuemart.session import use_checkpoints
 
 # First look: lambda = sinh(0.6 i), from -201 to 201, dense around zero.
@@ -19,7 +19,7 @@ FIRST_GRID = 10
 FIRST_STEP = 0.6
 # Each further look: this many steps between the neighbours of the best value so far.
 ZOOM_STEPS = 12
-ZOOMS = 3
+ZOOMS = 4
 
 
 def boxcox(log: Column, lmbda: Column | float) -> Column:
@@ -119,7 +119,10 @@ def _fit_groups(data: DataFrame, groups: list[str], first: list[float]) -> DataF
     state = data.groupBy(*groups).agg(F.avg("_log").alias("_centre"), F.count(F.lit(1)).alias("n")).checkpoint()
     sizes = state.select(*groups, "n")
     for look in range(1 + ZOOMS):
-        rows = skew_join(data, state.drop("lmbda", "n"), groups, counts=sizes)
+        # One row per group: sent to every task while it is small.
+        known = state.drop("lmbda", "n")
+        small = known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        rows = data.join(F.broadcast(known), groups) if small else skew_join(data, known, groups, counts=sizes)
         rows = rows.withColumn("_log", F.col("_log") - F.col("_centre"))
         lams = first if look == 0 else [F.col("_low") + F.col("_step") * i for i in range(ZOOM_STEPS + 1)]
         spreads = _spreads(rows, groups, lams, ["_centre"] if look == 0 else ["_centre", "_low", "_step"])
@@ -142,7 +145,7 @@ def zscore(df: DataFrame, x: str, out: str, groups: list[str] | None = None) ->
     moments = F.struct(F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"))
     if groups:
         values = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), moments.alias("_m"))
-        rows = skew_join(df, values.drop("n"), groups, "left", counts=values.select(*groups, "n"))
+        rows = lookup_join(df, values.drop("n"), groups, "left")
     else:
         rows = df.withColumn("_m", df.agg(moments.alias("_m")).scalar())
     centred = F.col(x) - F.col("_m.mean")
@@ -161,7 +164,7 @@ def boxcox_scale(
     rows = df.withColumn("_x", F.col(x) + F.lit(1.0 if add_one else 0.0))
     fitted = _fit(rows, "_x", groups)
     if groups:
-        rows = skew_join(rows, fitted, groups, "left")
+        rows = lookup_join(rows, fitted, groups, "left")
     else:
         row = fitted.first()
         rows = rows.withColumns({c: F.lit(row[c] if row else None).cast("double") for c in fitted.columns})

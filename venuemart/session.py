@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 
@@ -14,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    # Files of a checkpoint go when nothing refers to it any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -48,3 +51,13 @@ def use_checkpoints(spark: SparkSession) -> None:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = os.path.join(tempfile.gettempdir(), "venuemart-checkpoints")
     context.setCheckpointDir(folder)
+    atexit.register(_remove, context, context.getCheckpointDir())
+
+
+def _remove(context, folder: str) -> None:
+    """What is left of the session's own checkpoint folder when Python ends."""
+    try:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # the JVM may have ended before
+        return
