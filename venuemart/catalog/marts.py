@@ -38,6 +38,24 @@ def named_aspect_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return reviews.named_aspects(_mentions(spark, sf)).withColumn("sentiment", rounded(F.col("sentiment"), 4))
 
 
+_MEANS = f"SELECT global_id, aspect, value, avg(x) - 1 AS mean, CAST(sum(count) AS BIGINT) AS count FROM ({_MENTION_ROWS}) GROUP BY global_id, aspect, value"
+
+
+@query(f"SELECT global_id, aspect, value, {sql.rnd('mean', 6)} AS sentiment, count FROM ({_MEANS})")
+def named_aspect_means(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rollup of unscaled sentiment."""
+    return reviews.named_aspects(_mentions(spark, sf), scaled=None).withColumn("sentiment", rounded(F.col("sentiment"), 6))
+
+
+@query(
+    f"WITH d AS (SELECT *, mean + 1 AS x FROM ({_MEANS})), {sql.boxcox_ctes('d', 'x')}, y AS (SELECT d.*, (exp(lmbda * (ln(x) - avg(ln(x)) OVER ())) - 1) / lmbda AS y FROM d, lam) "
+    f"SELECT global_id, aspect, value, {sql.rnd('(y - avg(y) OVER ()) / stddev_pop(y) OVER ()', 4)} AS sentiment, count FROM y"
+)
+def named_aspect_scaled_after(spark: SparkSession, sf: str) -> DataFrame:
+    """The means scaled after the rollup."""
+    return reviews.named_aspects(_mentions(spark, sf), scaled="after").withColumn("sentiment", rounded(F.col("sentiment"), 4))
+
+
 _STARS = "SELECT l_suppkey AS global_id, l_returnflag AS fname, CAST(l_quantity AS INTEGER) AS rating FROM lineitem"
 
 

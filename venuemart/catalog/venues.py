@@ -187,6 +187,31 @@ def address_parts(spark: SparkSession, sf: str) -> DataFrame:
     return with_address_parts(rows.select("c_custkey", F.expr(_ADDRESS).alias("Address")))
 
 
+_KINDS = {
+    "Street": "улица переулок шоссе аллея проспект площадь бульвар проезд тупик набережная".split(),
+    "House": "дом владение участок".split(),
+    "Building": "корпус строение здание".split(),
+}
+_TYPES = {
+    part: f"CASE (p_partkey * {step} + p_size) % {len(kinds)} " + " ".join(f"WHEN {k} THEN '{kind}'" for k, kind in enumerate(kinds)) + " END"
+    for (part, kinds), step in zip(_KINDS.items(), (1, 7, 5))
+}
+_ANY_ADDRESS = (
+    f"concat(CASE WHEN p_partkey % 2 = 0 THEN concat({_TYPES['Street']}, ' садовая', p_size) ELSE concat('Садовая', p_size, ' ', {_TYPES['Street']}) END, "
+    f"', ', {_TYPES['House']}, ' ', p_partkey, ', ', {_TYPES['Building']}, ' ', p_size)"
+)
+
+
+@query(
+    f"SELECT p_partkey, {_ANY_ADDRESS} AS Address, {_TYPES['Street']} AS StreetType, concat('садовая', p_size) AS StreetName, {_TYPES['House']} AS HouseType, "
+    f"p_partkey::VARCHAR AS HouseName, {_TYPES['Building']} AS BuildingType, p_size::VARCHAR AS BuildingName FROM part"
+)
+def address_types(spark: SparkSession, sf: str) -> DataFrame:
+    """All types of streets, houses and buildings; the type before or after the street's name."""
+    rows = table(spark, sf, "part").select("p_partkey", F.expr(_ANY_ADDRESS).alias("Address"))
+    return with_address_parts(rows)
+
+
 @query(f"SELECT s_suppkey AS global_id, {_NAME} AS Name, {_NORM} AS Name_norm FROM supplier")
 def name_norm(spark: SparkSession, sf: str) -> DataFrame:
     return suppliers(spark, sf).select("global_id", "Name", "Name_norm")

@@ -132,9 +132,9 @@ def create_aspects(
     write_table(find_mentions(data, col_text, [col_id, col_sentence], list(global_features)), output)
 
 
-def collect_named_aspects(spark: SparkSession, input: str, output: str) -> None:
+def collect_named_aspects(spark: SparkSession, input: str, output: str, scaled: str | None = "before") -> None:
     """`input`: a folder of mention tables, CSV or Parquet, one per source, or one such table."""
-    write_table(reviews.named_aspects(files.read_by_name(spark, input, schemas.MENTION_SCORED)), output)
+    write_table(reviews.named_aspects(files.read_by_name(spark, input, schemas.MENTION_SCORED), scaled), output)
 
 
 def collect_aspects(spark: SparkSession, input: str, output: str, scaled: bool = False) -> None:

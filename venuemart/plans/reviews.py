@@ -55,15 +55,25 @@ def with_polarity(df: DataFrame, out: str = "sentiment", scaled: bool = True) ->
     return boxcox_scale(df.withColumn("_polarity", polarity()), "_polarity", out, add_one=True).drop("_polarity")
 
 
-def named_aspects(mentions: DataFrame) -> DataFrame:
-    """Mean sentiment and mentions per venue, aspect and value."""
+def named_aspects(mentions: DataFrame, scaled: str | None = "before") -> DataFrame:
+    """Mean sentiment and mentions per venue, aspect and value.
+
+    Sentiment is the polarity of the scores, Box-Cox transformed and scaled over all mentions `before` the
+    means are taken, or over all means `after`, or not at all (None).
+    """
+    if scaled not in ("before", "after", None):
+        raise ValueError(f"scaled must be 'before', 'after' or None, not {scaled!r}")
     keys = ["global_id", "aspect", "value"]
-    return (
-        with_polarity(mentions)
+    means = (
+        with_polarity(mentions, scaled=scaled == "before")
         .dropna(subset=keys)
         .groupBy(*keys)
         .agg(F.avg("sentiment").alias("sentiment"), F.sum("count").alias("count"))
     )
+    if scaled != "after":
+        return means
+    renamed = means.withColumnRenamed("sentiment", "_mean")
+    return boxcox_scale(renamed, "_mean", "sentiment", add_one=True).select(*means.columns)
 
 
 def venue_ratings(stars: DataFrame, scaled: bool = False) -> DataFrame:
