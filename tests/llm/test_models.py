@@ -110,6 +110,8 @@ def test_quality(spark):
             assert abs(r.expected_grade - r.doc_id % 3) < 0.6 and (r.tail > 0.5) == (r.doc_id % 3 > 0)
     only = quality.fit(docs, spark.createDataFrame([(1, 3.0)], "doc_id bigint, grade double"))
     assert {(r.expected_grade, r.tail) for r in quality.score(docs, only).collect()} == {(3.0, 1.0)}
+    none = quality.fit(docs, spark.createDataFrame([], "doc_id bigint, grade double"))
+    assert {(r.expected_grade, r.tail) for r in quality.score(docs, none, least=1.0).collect()} == {(None, 1.0)}
     assert quality.score(docs.limit(0), model).collect() == []
 
 

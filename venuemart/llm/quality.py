@@ -89,7 +89,7 @@ def fit_ordinal(sizes: np.ndarray, at: np.ndarray, x: np.ndarray, grades: np.nda
     values = sorted(set(grades.tolist()))
     k = len(values) - 1
     if k < 1:
-        return Model(np.zeros(BUCKETS), np.zeros(k), values or [0.0])
+        return Model(np.zeros(BUCKETS), np.zeros(max(k, 0)), values)
     y = np.searchsorted(values, grades)
     n, of = len(sizes), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     below = np.array([(y <= j).mean() for j in range(k)]).clip(0.01, 0.99)
@@ -137,7 +137,8 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: s
     """Learn from up to `sample` rows of ratings (id, grade), the documented bound of this fit.
 
     The ratings of the sample go to the documents, which are not shuffled. Null ids and grades teach nothing;
-    of several ratings of an id the lowest counts. With less than two grades every text reaches the only one.
+    of several ratings of an id the lowest counts. With one grade every text has it; without ratings nothing is
+    known, the expected grade is null and every text passes.
     """
     known = ratings.select(F.col(id_col).cast("bigint").alias("id"), F.col(grade_col).cast("double").alias("grade"))
     known = known.dropna().groupBy("id").agg(F.min("grade").alias("grade"))
@@ -165,8 +166,11 @@ def score(docs: DataFrame, model: Model, least: float | None = None, text_col: s
         for batch in batches:
             s = np.array([hasher(t) @ model.weights for t in batch.column("text").to_pylist()], float)
             reach = np.concatenate([np.ones((len(s), 1)), model.reach(s), np.zeros((len(s), 1))], axis=1)
-            expected = (reach[:, :-1] - reach[:, 1:]) @ np.array(model.grades)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(expected), pa.array(reach[:, goal])], ["row", "expected_grade", "tail"])
+            if not model.grades:
+                expected, tail = pa.nulls(len(s), pa.float64()), np.ones(len(s))
+            else:
+                expected, tail = pa.array((reach[:, :-1] - reach[:, 1:]) @ np.array(model.grades)), reach[:, goal]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), expected, pa.array(tail)], ["row", "expected_grade", "tail"])
 
     fields = [T.StructField("expected_grade", T.DoubleType()), T.StructField("tail", T.DoubleType())]
     return base.mapInArrow(run, with_fields(T.StructType([base.schema["row"]]), *fields))
