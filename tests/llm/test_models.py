@@ -160,3 +160,13 @@ def test_distance(spark):
         df = spark.createDataFrame([(p, q)], "p array<double>, q array<double>")
         got = df.select(rules.distance(F.col("p"), F.col("q"))).first()[0]
         assert got == pytest.approx(math.sqrt((kl(p) + kl(q)) / 2))
+
+
+def test_bounded_sample(spark):
+    from venuemart.llm.common import bounded
+
+    ids = spark.range(20_000)
+    got = {r.id for r in bounded(ids, "id", 1000).collect()}
+    assert 600 < len(got) <= 1000
+    assert {r.id for r in bounded(ids.repartition(7), "id", 1000).collect()} == got
+    assert bounded(ids, "id", 20_000).count() == 20_000

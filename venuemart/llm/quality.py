@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from venuemart.llm.common import packed, stored, text_of, with_fields
+from venuemart.llm.common import bounded, packed, stored, text_of, with_fields
 
-#: Rated rows to learn from at most: those with the smallest hash of their id.
+#: Rated rows to learn from at most, chosen by the hash of their id.
 SAMPLE = 10_000
 BUCKETS = 1 << 13
 #: Distinct words whose buckets a task remembers.
@@ -142,7 +142,7 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: s
     """
     known = ratings.select(F.col(id_col).cast("bigint").alias("id"), F.col(grade_col).cast("double").alias("grade"))
     known = known.dropna().groupBy("id").agg(F.min("grade").alias("grade"))
-    known = stored(known.orderBy(F.xxhash64("id"), "id").limit(sample), "ratings")
+    known = bounded(stored(known, "ratings"), "id", sample)
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), text_of(text_col).alias("text")).join(F.broadcast(known), "id")
     found = texts.select("id", "text", "grade").mapInArrow(_features, "id bigint, at array<int>, x array<float>, grade double")
     # The order of the sums, and so the model, must not depend on the partitions.

@@ -20,9 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from venuemart.llm.common import packed, stored, text_of, with_fields
+from venuemart.llm.common import bounded, packed, stored, text_of, with_fields
 
-#: Labelled rows to learn from at most: those with the smallest hash of their id.
+#: Labelled rows to learn from at most, chosen by the hash of their id.
 LABELLED = 500_000
 #: Words and pairs that the models hold one by one at most; rarer ones share a place or back off.
 WORDS = 100_000
@@ -169,7 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = labels.select(F.col(id_col).cast("bigint").alias("id"), F.col(label_col).cast("int").alias("toxic"))
     known = known.dropna().groupBy("id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     known = known.withColumn("fold", F.pmod(F.xxhash64(F.lit(2), "id"), F.lit(CALIBRATE)))
-    known = stored(known.orderBy(F.xxhash64("id"), "id").limit(labelled), "labels")
+    known = bounded(stored(known, "labels"), "id", labelled)
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), text_of(text_col).alias("text"))
     texts = texts.join(F.broadcast(known), "id")
     counted = texts.where("fold != 0").select("text", "toxic")
