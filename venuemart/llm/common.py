@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,15 +32,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     What follows depends on the files alone, so a lost executor costs only its own tasks. `release` deletes
-    the files when the results that read them have been written.
+    the files when the results that read them have been written; the end of Python does so for the rest.
     """
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}/{name}"
     df.write.parquet(folder)
+    if not _folders:
+        atexit.unregister(_leave)
+        atexit.register(_leave, spark)
     _folders.append(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def _leave(spark: SparkSession) -> None:
+    """Delete what is left when Python ends, if Spark is still there."""
+    try:
+        release(spark)
+    except Exception:
+        _folders.clear()
+
+
 def mark() -> int:
     """The number of stored tables so far, to `release` those of one job only."""
     return len(_folders)
