@@ -1,0 +1,63 @@
+"""Near-duplicates by five-word shingles against brute force."""
+
+import os
+import random
+
+import pytest
+
+from venuemart.llm import near, simhash
+
+
+def brute_shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute_kept(rows):
+    """The smallest id of each component of texts alike to 0.8."""
+    sets = [brute_shingles(t) for _, t in rows]
+    at = list(range(len(rows)))
+    find = lambda x: x if at[x] == x else find(at[x])
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a == b or (min(len(a), len(b)) >= 0.8 * max(len(a), len(b)) and len(a & b) >= 0.8 * len(a | b)):
+                at[find(i)] = find(j)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least[find(k)] = min(i, least.get(find(k), i))
+    return sorted(least.values())
+
+
+@pytest.mark.parametrize("longest", [2, 16])
+def test_near_copies_leave_one(spark, longest):
+    """Copies with one to twelve of 200 words changed; a hot group; a passage that many texts share."""
+    rng = random.Random(7)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    rows, passage = [], [word() for _ in range(60)]
+    for size in (2, 2, 2, 3, 3, 5, 60):
+        base = [word() for _ in range(200)]
+        for _ in range(size):
+            words = list(base)
+            for _ in range(rng.randint(1, 4 if size > 5 else 12)):
+                words[rng.randrange(200)] = word()
+            rows.append((len(rows), " ".join(words).title() if rng.random() < 0.5 else " ".join(words)))
+    rows += [(len(rows) + k, " ".join([*passage, *[word() for _ in range(60)]])) for k in range(40)]
+    rows += [(len(rows) + k, t) for k, t in enumerate(["", " ", "a b c", "A  b c", "a b d"])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in simhash.one_per_group(docs, longest=longest).collect()) == brute_kept(rows)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    assert sorted(r.doc_id for r in simhash.one_per_group(docs).collect()) == brute_kept(rows)
+
+
+def test_shingles_and_bands_in_chunks(monkeypatch):
+    text = " ".join(str(i * i % 9973) for i in range(3000))
+    whole = near.bands_of(near.shingles(text)).tolist()
+    monkeypatch.setattr(near, "CHUNK", 64)
+    assert near.bands_of(near.shingles(text)).tolist() == whole
+    assert len(near.shingles("a b c d e f a b c d e")) == len(brute_shingles("a b c d e f a b c d e"))

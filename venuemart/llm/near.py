@@ -1,0 +1,160 @@
+"""Links between texts whose shingle sets are alike: minhash bands pick candidates, the sets decide.
+
+A text is the set of its five-word shingles. Eighty minhashes of it are cut into 20 bands of four; two sets of
+similarity 0.8 (shared over all shingles) miss each other in all bands once in 38,000 times. No list is paired whole:
+
+1. Sets that share a band are paired if at most `longest` do.
+2. Members of longer lists are posted again under all pairs of bands, and paired likewise.
+3. Lists that are still longer hold sets that share eight minhashes. They are sorted over all tasks, each list
+   by a further band, and each member is paired with its next neighbours.
+
+The candidates' sets are then compared whole, so every link is true. On levels 2 and 3 a link may be missed
+more often; what is near meets in many lists, and components need one path only.
+"""
+
+from __future__ import annotations
+
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from venuemart.llm.common import stored, with_fields
+
+#: Words of a shingle, and the share of the shingles of two texts that both hold if they are near.
+SIZE, ALIKE = 5, 0.8
+BANDS, ROWS = 20, 4
+#: Lists of up to this many sets are paired; in longer ones each with so many neighbours.
+LONGEST, NEIGHBOURS = 16, 3
+#: Shingles that meet all minhashes at once.
+CHUNK = 1 << 14
+
+_hash = partial(xxhash.xxh64_intdigest, seed=43)
+_draw = np.random.default_rng(44)
+_turn = _draw.integers(0, 1 << 64, BANDS * ROWS, np.uint64)
+_times = _draw.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def shingles(text: str, size: int = SIZE) -> np.ndarray:
+    """Sorted hashes of the distinct word shingles, lower case; a shorter text is one shingle, no word none."""
+    words = text.lower().encode().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    grams = [words] if len(words) < size else zip(*(words[i:] for i in range(size)), strict=False)
+    return np.unique(np.fromiter(map(_hash, map(b" ".join, grams)), np.uint64, max(1, len(words) - size + 1)))
+
+
+def name_of(held: np.ndarray) -> int:
+    """Signed 64-bit name of a set."""
+    return int(np.uint64(xxhash.xxh64_intdigest(held.tobytes(), seed=45)).view(np.int64))
+
+
+def bands_of(held: np.ndarray) -> np.ndarray:
+    """A signed hash of each band's minhashes; texts without shingles have none."""
+    if not len(held):
+        return np.zeros(0, np.int64)
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(held), CHUNK):
+        least = np.minimum(least, ((held[at : at + CHUNK, None] ^ _turn) * _times).min(axis=0))
+    cut = least.reshape(BANDS, ROWS)
+    return np.array([xxhash.xxh64_intdigest(cut[k].tobytes(), seed=k) for k in range(BANDS)], np.uint64).view(np.int64)
+
+
+def _mapped(docs: DataFrame, fields: list[T.StructField], made) -> DataFrame:
+    """docs (any columns and `text`): the other columns and what `made` returns of each text's shingles."""
+    rest = [f for f in docs.schema.fields if f.name != "text"]
+    schema = with_fields(T.StructType(rest), *fields)
+    kinds = [pa.list_(pa.int64()) if isinstance(f.dataType, T.ArrayType) else pa.int64() for f in fields]
+
+    def run(batches):
+        for batch in batches:
+            out = [made(shingles(t)) for t in batch.column("text").to_pylist()]
+            new = [pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in rest], *new], schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
+_FP, _N = T.StructField("fp", T.LongType()), T.StructField("n", T.LongType())
+_LONGS = T.ArrayType(T.LongType())
+
+
+def with_names(docs: DataFrame) -> DataFrame:
+    """The columns of docs but `text`, and `fp`, the name of the text's set."""
+    return _mapped(docs, [_FP], lambda s: (name_of(s),))
+
+
+def with_bands(docs: DataFrame) -> DataFrame:
+    """The same, with the size `n` of the set and its `bands`."""
+    return _mapped(docs, [_FP, _N, T.StructField("bands", _LONGS)], lambda s: (name_of(s), len(s), bands_of(s)))
+
+
+def _split(posted: DataFrame, longest: int) -> tuple[DataFrame, DataFrame]:
+    """Postings in lists of 2 to `longest` members, and those in longer lists."""
+    sizes = posted.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    met = stored(posted.join(sizes, "key"), "band_lists")
+    return met.where(F.col("members") <= longest).drop("members"), met.where(F.col("members") > longest).drop("members")
+
+
+def _fitting(pairs: DataFrame) -> DataFrame:
+    """Sets of sizes too different cannot be near."""
+    return pairs.where(F.least("nu", "nv") >= F.lit(ALIKE) * F.greatest("nu", "nv")).select("u", "v")
+
+
+def _paired(lists: DataFrame) -> DataFrame:
+    met = lists.alias("l").join(lists.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.fp") > F.col("r.fp")))
+    return _fitting(met.select(F.col("l.fp").alias("u"), F.col("r.fp").alias("v"), F.col("l.n").alias("nu"), F.col("r.n").alias("nv")))
+
+
+def _neighbours(lists: DataFrame) -> DataFrame:
+    """Pairs of each member and the next ones of its list in the order of the whole table."""
+    tied = lists.withColumn("tie", F.xxhash64("key", "fp"))
+    dealt = tied.repartitionByRange("key", "next", "tie").sortWithinPartitions("key", "next", "tie").select("key", "fp", "n")
+
+    def run(batches):
+        last = np.zeros((3, 0), np.int64)
+        for batch in batches:
+            new = np.stack([batch.column(c).to_numpy() for c in ("key", "fp", "n")])
+            rows = np.concatenate([last, new], axis=1)
+            for step in range(1, NEIGHBOURS + 1):
+                # The first of a batch meet those left of the one before.
+                b = np.arange(max(last.shape[1], step), rows.shape[1])
+                b = b[rows[0, b] == rows[0, b - step]]
+                a = b - step
+                yield pa.RecordBatch.from_arrays([pa.array(rows[1, a]), pa.array(rows[1, b]), pa.array(rows[2, a]), pa.array(rows[2, b])], ["u", "v", "nu", "nv"])
+            last = rows[:, -NEIGHBOURS:]
+
+    met = dealt.mapInArrow(run, "u bigint, v bigint, nu bigint, nv bigint")
+    return _fitting(met).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+
+
+def candidates(sets: DataFrame, longest: int = LONGEST) -> DataFrame:
+    """Pairs u > v of the stored sets (fp, n, bands) that may be near, each once."""
+    posted = sets.select("fp", "n", F.explode("bands").alias("key"))
+    short, crowded = _split(posted, longest)
+    again = sets.join(stored(crowded.select("fp").distinct(), "crowded"), "fp", "left_semi")
+    pairs = f"transform(sequence(0, {BANDS - 2}), i -> transform(sequence(i + 1, {BANDS - 1}), j -> struct(xxhash64(bands[i], bands[j]) AS key, bands[(j + 1) % {BANDS}] AS next)))"
+    finer, full = _split(again.select("fp", "n", F.explode(F.expr(f"flatten({pairs})")).alias("at")).select("fp", "n", "at.key", "at.next"), longest)
+    return _paired(short).union(_paired(finer)).union(_neighbours(full)).distinct()
+
+
+def links(docs: DataFrame, held: DataFrame, longest: int = LONGEST) -> DataFrame:
+    """Links (u, v) between the names of sets of which both hold at least `ALIKE` of all shingles of the two.
+
+    docs (id, text); held: the stored rows of docs by `with_bands`.
+    """
+    some = held.where("n > 0").groupBy("fp").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
+    pairs = stored(candidates(stored(some, "sets"), longest), "candidates")
+    needed = stored(pairs.select(F.col("u").alias("fp")).union(pairs.select("v")).distinct(), "needed")
+    # One text of each set; only these texts are read into sets again.
+    ids = held.join(needed, "fp").groupBy("fp").agg(F.min("id").alias("of")).select("of").distinct()
+    texts = docs.select("id", "text").join(ids, F.col("id").eqNullSafe(F.col("of")), "left_semi").select("text")
+    sets = _mapped(texts, [_FP, T.StructField("held", _LONGS)], lambda s: (name_of(s), s.view(np.int64)))
+    sets = stored(sets.join(needed, "fp", "left_semi").groupBy("fp").agg(F.first("held").alias("held")), "shingles")
+    met = pairs.join(sets.select(F.col("fp").alias("u"), F.col("held").alias("a")), "u").join(sets.select(F.col("fp").alias("v"), F.col("held").alias("b")), "v")
+    both = F.size(F.array_intersect("a", "b"))
+    return met.where(both >= F.lit(ALIKE) * (F.size("a") + F.size("b") - both)).select("u", "v")
