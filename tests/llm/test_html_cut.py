@@ -52,6 +52,24 @@ def test_pages(html, text):
     assert html_cut.main_text(html) == text
 
 
+@pytest.mark.parametrize("name", ["button", "select", "svg", "math", "object", "canvas", "audio", "video", "datalist", "template"])
+def test_left_out_elements_end_with_their_parent(name):
+    """Closed or not, with a later closed one or without, in a menu and inside the text."""
+    story = f"<article><p>{PLAIN}</p><p>More of it, with <b>bold</b> words.</p></article>"
+    want = f"{PLAIN.strip()}\nMore of it, with bold words."
+    for menu in (f"<nav><{name}>Menu</nav>", f"<nav><div><{name} class=x>Menu<span>x</div></nav>", f"<nav><{name}>Menu</{name}></nav>"):
+        assert html_cut.main_text(f"<body>{menu}{story}") == want
+        assert html_cut.main_text(f"<body>{menu}{story}<form><{name}>Send</{name}></form>") == want
+    assert html_cut.main_text(f"<body>{story.replace('</article>', f'<div><{name}>no <i>no</i></div><p>End.</p></article>')}") == want + "\nEnd."
+
+
+def test_left_out_elements_in_a_line():
+    assert html_cut.main_text("<article><p>a <svg><title>no</title><path d='x'/><g><text>no</text></g></svg> b <button><div>no</div></button> c</p></article>") == "a b c"
+    for name in ("button", "select", "svg"):
+        assert html_cut.main_text(f"<body><{name}>Menu<article><p>{PLAIN}</p></article>") == PLAIN.strip()
+    assert html_cut.main_text("<article><p>a <button>no<button>no</button> b</p></article>") == "a b"
+
+
 def test_long_and_deep_pages():
     deep = "<div>" * 20_000 + f"<article><p>{PLAIN}</p>" + "<p>a b</p>" * 3000
     assert html_cut.main_text(deep).count("\n") == 3000

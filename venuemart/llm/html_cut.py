@@ -23,7 +23,15 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style noscript template svg math iframe object select button textarea title canvas audio video datalist".split())
+#: Their content is text up to the closing tag of their name, whatever it holds.
+RAW = frozenset("script style noscript iframe textarea title".split())
+#: Markup that is no text of the page; it ends with its parent like any other.
+LEFT_OUT = frozenset("template svg math object select button canvas audio video datalist".split())
+#: Those among them that stand inside a line of text, and those that cannot hold parts of a page.
+IN_LINE = frozenset("button svg math".split())
+SMALL = frozenset("button select svg math datalist".split())
+ENDS_SMALL = frozenset("article aside footer form h1 h2 h3 h4 h5 h6 header main nav p section".split())
+HOLDS_SMALL = frozenset("table td th object template".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
@@ -42,7 +50,7 @@ QUALIFIERS = frozenset("has with no without is js not".split())
 
 _token = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|<(?=[^a-zA-Z/!?])|</?[a-zA-Z][^<]*\Z|</[^>]*>|<|[^<]+""", re.S)
 _named = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
-_ends = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in SKIPPED}
+_ends = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
 _words = re.compile(r"[A-Za-z]+")
 _headings = frozenset("h1 h2 h3 h4 h5 h6".split())
 
@@ -53,13 +61,15 @@ SMOOTH = 0.5
 
 
 class Element:
-    __slots__ = ("article", "depth", "name", "out", "parent", "plain", "warm")
+    __slots__ = ("article", "depth", "gone", "name", "out", "parent", "plain", "warm")
 
     def __init__(self, name: str, attributes: str, parent: Element | None):
         self.name, self.parent = name, parent
         self.depth = parent.depth + 1 if parent else 0
         self.article = bool(parent and parent.article)
-        self.out = bool(parent and parent.out)
+        # Text in here is no text of the page.
+        self.gone = name in LEFT_OUT or bool(parent and parent.gone)
+        self.out = self.gone or bool(parent and parent.out)
         self.warm = bool(parent and parent.warm)
         # In a form, but not in an article of it.
         self.plain = bool(parent and parent.plain)
@@ -127,7 +137,7 @@ def blocks(html: str) -> list[tuple[str, int, Element]]:
         name = m[2]
         if name is None:
             text = m[0]
-            if text[0] != "<" or text == "<":
+            if (text[0] != "<" or text == "<") and not stack[-1].gone:
                 if not parts:
                     home = next(e for e in reversed(stack) if e.name not in INLINE)
                 parts.append(text)
@@ -137,12 +147,21 @@ def blocks(html: str) -> list[tuple[str, int, Element]]:
         name = name.lower()
         if name == "br":
             parts.append(" ")
-        elif name in SKIPPED:
+        elif name in RAW:
             if not m[1] and not m[3].endswith("/"):
                 shut = _ends[name].search(html, at)
                 at = shut.end() if shut else end
-                if name not in ("button", "svg", "math"):
-                    flush()
+                stack[-1].gone or flush()
+            parts and parts.append(" ")
+        elif name in LEFT_OUT:
+            if m[1]:
+                _pop(stack, {name})
+                links = int(any(e.name == "a" for e in stack))
+            elif not m[3].endswith("/"):
+                if name in ("button", "select"):
+                    _pop(stack, {"button", "select"} if name == "button" else {"select"}, HOLDS_SMALL)
+                stack[-1].gone or name in IN_LINE or flush()
+                stack.append(Element(name, m[3], stack[-1]))
             parts and parts.append(" ")
         elif name in INLINE:
             if m[1]:
@@ -154,22 +173,30 @@ def blocks(html: str) -> list[tuple[str, int, Element]]:
                     links = 1
                 stack.append(Element(name, m[3], stack[-1]))
         elif m[1]:
-            flush()
-            links = 0
+            inside = stack[-1].gone
             _pop(stack, {name})
+            if not (inside and stack[-1].gone):
+                flush()
+                links = 0
         else:
             if name in VOID:
-                if name in ("hr",):
+                if name in ("hr",) and not stack[-1].gone:
                     flush()
                 continue
-            flush()
-            links = 0
+            while stack[-1].gone and name in ENDS_SMALL:
+                held = len(stack)
+                _pop(stack, SMALL, LEFT_OUT - SMALL)
+                if len(stack) == held:
+                    break
+            if not stack[-1].gone:
+                flush()
+                links = 0
             if name in CLOSES_P:
-                _pop(stack, {"p"}, HOLDS)
+                _pop(stack, {"p"}, HOLDS | LEFT_OUT)
             if name in _headings:
-                _pop(stack, _headings, HOLDS)
+                _pop(stack, _headings, HOLDS | LEFT_OUT)
             if name in CLOSES_SAME:
-                _pop(stack, CLOSES_SAME[name], frozenset({"ul", "ol", "dl", "table"}))
+                _pop(stack, CLOSES_SAME[name], frozenset({"ul", "ol", "dl", "table"}) | LEFT_OUT)
             if name in ("html", "body", "head"):
                 continue
             stack.append(Element(name, m[3], stack[-1]))
