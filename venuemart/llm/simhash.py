@@ -28,7 +28,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from venuemart.llm import near
 from venuemart.llm.common import packed, stored, text_of, with_fields
 from venuemart.llm.components import components
 
@@ -120,13 +119,13 @@ def links(fps: DataFrame, longest: int = LONGEST) -> DataFrame:
     return _paired(short, BITS).union(_paired(short6, BITS)).union(stars).distinct()
 
 
-def near_groups(held: DataFrame, longest: int = LONGEST, linked: DataFrame | None = None) -> DataFrame:
+def near_groups(held: DataFrame, longest: int = LONGEST) -> DataFrame:
     """Per distinct fp of held (id, fp): component_id and `keep`, the fingerprint of the row with that id.
 
-    held must be a stored table. `linked` are links between its fps other than those of fingerprints.
+    held must be a stored table.
     """
     fps = stored(held.groupBy("fp").agg(F.min("id").alias("first")), "fingerprints")
-    root = components(links(fps.select("fp"), longest) if linked is None else linked).withColumnRenamed("node", "fp")
+    root = components(links(fps.select("fp"), longest)).withColumnRenamed("node", "fp")
     rooted = fps.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     rooted = stored(rooted, "rooted")
     best = F.min(F.struct(F.col("first").isNull().alias("none"), "first", "fp"))
@@ -147,18 +146,18 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", longest: int = near.LONGEST) -> DataFrame:
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", longest: int = LONGEST) -> DataFrame:
     """The rows of docs, all columns, of which each component keeps the one with the smallest id.
 
-    Links are those of `near`: at least 0.8 of all five-word shingles of two texts in common. A fingerprint of 64
-    bits cannot tell these (`BITS` is far tighter), so a set's name takes its place. Of rows alike in id
-    and set one stays.
+    Components are those of `simhash_dedup`. Null text counts as empty; rows with a null id stay only if their
+    component has no other; of rows alike in id and fingerprint one stays. Other columns, whatever their names,
+    come through unread.
     """
     base = packed(docs, id=F.col(id_col).cast("bigint"), text=text_of(text_col))
-    held = stored(near.with_bands(base.select("id", "text")), "held")
-    groups = near_groups(held.select("id", "fp"), linked=near.links(base.select("id", "text"), held, longest))
-    keep = groups.where(F.col("fp") == F.col("keep")).select(F.col("component_id").alias("first"), F.col("keep"))
+    marked = with_fingerprints(base)
+    held = stored(marked.select("id", "fp"), "held")
+    keep = near_groups(held, longest).where(F.col("fp") == F.col("keep")).select(F.col("component_id").alias("first"), F.col("keep"))
     same = F.col("id").eqNullSafe(F.col("first")) & (F.col("fp") == F.col("keep"))
-    met = near.with_names(base).join(keep, same, "left_semi")
+    met = marked.join(keep, same, "left_semi")
     first = F.row_number().over(Window.partitionBy("id", "fp").orderBy("tie"))
     return met.withColumn("tie", F.monotonically_increasing_id()).withColumn("rank", first).where("rank = 1").select("row.*")
