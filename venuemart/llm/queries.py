@@ -11,7 +11,7 @@ import corpus_pipeline
 
 from venuemart.llm import exact_dedup as exact
 from venuemart.llm import line_dedup as lines
-from venuemart.llm import html_cut, licenses, mixing, pieces, quality, rules, simhash, toxicity
+from venuemart.llm import html_cut, licenses, mixing, pieces, quality, rules, simhash, toxicity, whitening
 from venuemart.llm.common import read_table
 from venuemart.llm.recipe import graded, held_out, vocabulary
 
@@ -138,6 +138,11 @@ def op10_html_extraction(spark, sf_dir):
     return html_cut.extract(pages).select("row.page_id", "row.url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
 
 
+@query()
+def op13_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
