@@ -11,7 +11,7 @@ import corpus_pipeline
 
 from venuemart.llm import exact_dedup as exact
 from venuemart.llm import line_dedup as lines
-from venuemart.llm import html_cut, licenses, mixing, pieces, quality, rules, simhash, toxicity, whitening
+from venuemart.llm import html_cut, lexical, licenses, mixing, pieces, quality, rules, simhash, toxicity, whitening
 from venuemart.llm.common import read_table
 from venuemart.llm.recipe import graded, held_out, vocabulary
 
@@ -138,6 +138,26 @@ def op10_html_extraction(spark, sf_dir):
     return html_cut.extract(pages).select("row.page_id", "row.url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
 
 
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')"
+
+
+@query(
+    rf"""
+WITH t AS (SELECT doc_id, {_TERMS} AS ts FROM documents),
+s AS (SELECT count(*) AS n_docs, sum(len(ts))::BIGINT AS n_terms FROM t WHERE len(ts) > 0),
+p AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(ts) AS term FROM t) GROUP BY doc_id, term),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s),
+m AS (SELECT doc_id, 50 + (50 * len(ts) * n_docs) // n_terms AS m FROM t, s WHERE len(ts) > 0),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+r AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN p USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM r WHERE score > 0 QUALIFY rank <= {lexical.BEST}"""
+)
+def op12_ranked_search(spark, sf_dir):
+    return lexical.ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op13_embedding_whitening(spark, sf_dir):
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
