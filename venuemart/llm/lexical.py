@@ -148,6 +148,8 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
     sums = base.mapInArrow(count, "documents bigint, terms bigint").agg(F.sum("documents"), F.sum("terms")).first()
     n_documents, n_terms = (int(x or 0) for x in sums)
 
+    step = min(ROWS, shard)
+
     def run(batches):
         number = TaskContext.get().partitionId() << 32
         words, of, ids, size, terms = [], [], [], 0, 0
@@ -156,12 +158,12 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
             return _shard(number, pa.concat_arrays(words), np.concatenate(of), pa.concat_arrays(ids), n_documents, n_terms)
 
         for batch in batches:
-            for start in range(0, batch.num_rows, ROWS):
-                part = batch.slice(start, ROWS)
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
                 full = np.flatnonzero(counts_of(part.column("text")))
                 if not len(full):
                     continue
-                if size + len(full) > shard or terms >= shard_terms:
+                if size and (size + len(full) > shard or terms >= shard_terms):
                     yield from done()
                     words, of, ids, size, terms, number = [], [], [], 0, 0, number + 1
                 new, owner = terms_of(part.column("text").take(pa.array(full)))
