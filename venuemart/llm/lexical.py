@@ -24,12 +24,12 @@ from pyspark.sql import functions as F
 from venuemart.llm.common import parts_for, stored, text_of
 
 BEST = 50
-#: A shard holds up to so many documents (numbers of 16 bits) and ends with the document that reaches so many terms.
-SHARD, SHARD_TERMS = 16_384, 4_000_000
+#: A shard holds up to so many documents (at most 65,536, numbers of 16 bits) and ends with the document that reaches so many terms.
+SHARD, SHARD_TERMS = 4_096, 1_000_000
 #: Distinct terms of items that are looked up at once, in one block of items.
 BLOCK_TERMS = 200_000
 #: Rows of a batch whose terms are cut at once.
-ROWS = 512
+ROWS = 256
 
 #: Bytes of terms stay (A-Z in lower case), all others become a blank; bytes of other alphabets are 0x80 and up.
 _TO = np.full(256, 32, np.uint8)
