@@ -58,8 +58,7 @@ def counts_of(texts: pa.Array) -> np.ndarray:
     # A text's first byte has no neighbour before it.
     borders = ends[:-1][ends[:-1] < len(data)]
     starts[borders] = term[borders]
-    seen = np.concatenate([[0], np.cumsum(starts)])
-    return seen[ends[1:]] - seen[ends[:-1]]
+    return np.diff(np.searchsorted(np.flatnonzero(starts), ends))
 
 
 def terms_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -141,8 +140,9 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
     def count(batches):
         documents = terms = 0
         for batch in batches:
-            n = counts_of(batch.column("text"))
-            documents, terms = documents + int((n > 0).sum()), terms + int(n.sum())
+            for start in range(0, batch.num_rows, ROWS):
+                n = counts_of(batch.column("text").slice(start, ROWS))
+                documents, terms = documents + int((n > 0).sum()), terms + int(n.sum())
         yield pa.RecordBatch.from_arrays([pa.array([documents]), pa.array([terms])], ["documents", "terms"])
 
     sums = base.mapInArrow(count, "documents bigint, terms bigint").agg(F.sum("documents"), F.sum("terms")).first()
