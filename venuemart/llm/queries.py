@@ -11,7 +11,7 @@ import corpus_pipeline
 
 from venuemart.llm import exact_dedup as exact
 from venuemart.llm import line_dedup as lines
-from venuemart.llm import html_cut, lexical, licenses, mixing, pieces, quality, rules, simhash, toxicity, whitening
+from venuemart.llm import html_cut, lexical, licenses, mixing, personal, pieces, quality, rules, simhash, toxicity, whitening
 from venuemart.llm.common import read_table
 from venuemart.llm.recipe import graded, held_out, vocabulary
 
@@ -138,6 +138,13 @@ def op10_html_extraction(spark, sf_dir):
     return html_cut.extract(pages).select("row.page_id", "row.url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
 
 
+@query()
+def op11_personal_data(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal.find(docs, personal.fit(docs))
+    return found.select("row.doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 _TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')"
 
 
