@@ -152,76 +152,88 @@ class Vocabulary:
         return tuple(reversed(out))
 
     def _segments(self, texts: list[str]) -> list[tuple[int, ...]]:
-        """The same for many short texts at once: each step of the search is one array operation over all."""
+        """The same for many short texts at once.
+
+        Bytes lie by position, then text. The trie is walked from all characters of all texts together, a step a
+        byte; the best paths then grow position by position, and are read back in step.
+        """
         base, check, scores = self.arrays
         raw = [t.encode() for t in texts]
-        n = np.array([len(r) for r in raw])
-        width = int(n.max())
-        data = np.frombuffer(b"".join(r.ljust(width, b"\0") for r in raw), np.uint8).reshape(len(raw), width).astype(np.int32)
-        best = np.full((len(raw), width + 1), -np.inf)
-        best[:, 0] = 0.0
-        back, how = np.zeros((len(raw), width + 1), np.int32), np.full((len(raw), width + 1), -1, np.int32)
-
-        def reach(rows, end, total, at, piece):
-            better = total > best[rows, end]
-            rows, end = rows[better], end[better] if isinstance(end, np.ndarray) else end
-            best[rows, end], back[rows, end] = total[better], at
-            how[rows, end] = piece[better] if isinstance(piece, np.ndarray) else piece
-
-        for at in range(width):
-            rows = np.flatnonzero((best[:, at] > -np.inf) & (at < n))
-            if not len(rows):
+        many, size = len(raw), np.array([len(r) for r in raw])
+        width = int(size.max())
+        by_text = np.frombuffer(b"".join(r.ljust(width, b"\0") for r in raw), np.uint8).reshape(many, width)
+        data = np.ascontiguousarray(by_text.T).reshape(-1).astype(np.int32)
+        inside = (np.arange(width)[:, None] < size).reshape(-1)
+        start = np.flatnonzero(inside & ((data & 0xC0) != 0x80))
+        lead = data[start]
+        step = (1 + (lead >= 0xC0) + (lead >= 0xE0) + (lead >= 0xF0)).astype(np.int64)
+        single = np.zeros(len(start), bool)
+        froms, ends, pieces, lengths = [], [], [], []
+        who, state, at, depth = np.arange(len(start)), np.zeros(len(start), np.int32), start, 0
+        while len(who):
+            to = base[state] + data[at] + 1
+            good = check[to] == state
+            who, state, at, depth = who[good], to[good], at[good] + many, depth + 1
+            leaf = base[state]
+            full = np.flatnonzero(check[leaf] == state)
+            found = who[full]
+            froms.append(start[found])
+            ends.append(at[full])
+            pieces.append(-1 - base[leaf[full]])
+            lengths.append(np.full(len(full), depth))
+            single[found[step[found] == depth]] = True
+            going = at < len(data)
+            going[going] = inside[at[going]]
+            who, state, at = who[going], state[going], at[going]
+        lone = np.flatnonzero(~single)
+        froms, ends = np.concatenate([*froms, start[lone]]), np.concatenate([*ends, start[lone] + many * step[lone]])
+        pieces, lengths = np.concatenate([*pieces, np.full(len(lone), -1)]), np.concatenate([*lengths, step[lone]])
+        # By end, and of one end the longest first: it stays where totals are equal.
+        order = np.argsort(ends * 512 + (511 - lengths))
+        froms, ends, pieces = froms[order], ends[order], pieces[order]
+        adds = np.where(pieces >= 0, scores[pieces], self.least)
+        best, back, how = np.zeros((width + 1) * many), np.zeros((width + 1) * many, np.int64), np.zeros((width + 1) * many, np.int64)
+        borders = np.searchsorted(ends, np.arange(1, width + 2) * many)
+        for low, high in zip(borders[:-1], borders[1:], strict=True):
+            if low == high:
                 continue
-            here, lead = best[rows, at], data[rows, at]
-            step = at + 1 + (lead >= 0xC0) + (lead >= 0xE0) + (lead >= 0xF0)
-            single, walking, state, end = np.zeros(len(rows), bool), np.arange(len(rows)), np.zeros(len(rows), np.int32), at
-            while end < width:
-                to = base[state] + data[rows[walking], end] + 1
-                good = (check[to] == state) & (end < n[rows[walking]])
-                walking, state, end = walking[good], to[good], end + 1
-                if not len(walking):
-                    break
-                leaf = base[state]
-                ends = check[leaf] == state
-                if ends.any():
-                    who, piece = walking[ends], -1 - base[leaf[ends]]
-                    reach(rows[who], end, here[who] + scores[piece], at, piece)
-                    single[who[step[who] == end]] = True
-            if not single.all():
-                reach(rows[~single], step[~single], here[~single] + self.least, at, -1)
-        found = []
-        for r, b, h in zip(raw, back.tolist(), how.tolist(), strict=True):
-            out, end = [], len(r)
-            while end:
-                if h[end] >= 0:
-                    out.append(h[end])
-                else:
-                    out.extend(self.bytes[x] for x in reversed(r[b[end] : end]))
-                end = b[end]
-            found.append(tuple(reversed(out)))
-        return found
+            total, end = best[froms[low:high]] + adds[low:high], ends[low:high]
+            new = np.append(True, end[1:] != end[:-1])
+            heads = np.flatnonzero(new)
+            most = np.maximum.reduceat(total, heads)
+            group = np.cumsum(new) - 1
+            hits = np.flatnonzero(total == most[group])
+            hits = hits[np.append(True, group[hits[1:]] != group[hits[:-1]])]
+            at = end[heads]
+            best[at], back[at], how[at] = most, froms[low:high][hits], pieces[low:high][hits]
+        path, at = [], size * many + np.arange(many)
+        while (at >= many).any():
+            going = at >= many
+            path.append(np.where(going, how[at], -2))
+            at = np.where(going, back[at], at)
+        ids = np.stack(path[::-1], axis=1)
+        kept = ids != -2
+        flat, cuts = ids[kept].tolist(), np.cumsum(np.append(0, kept.sum(axis=1))).tolist()
+        out = [tuple(flat[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        for k in np.flatnonzero((ids == -1).any(axis=1)).tolist():
+            out[k] = self.segment(texts[k])
+        return out
 
     def prepare(self, texts: list[str]) -> None:
         """Remember the segments of these texts, found many at a time. It changes no result, only the time."""
         if not (self.lines and self.cuts):
             return
-        first, later = set(), set()
+        need = set()
         for text in texts:
-            for line in (MARK + text.replace(" ", MARK)).split("\n"):
-                words = line.split(MARK)
-                first.add(words[0])
-                later.update(words[1:])
-        need = {w for w in (*first, *(MARK + w for w in later if w)) if w and w not in self.known}
-        if len(self.known) + 2 * len(need) > REMEMBERED:
+            for line in (MARK + text.replace(" ", " " + MARK)).split("\n"):
+                need.update(line.split(" "))
+        need = {w for w in need if w and w not in self.known}
+        if len(self.known) + len(need) > REMEMBERED:
             self.known.clear()
-        cut = {w: self._parts(w) for w in need}
-        new = sorted({x for parts in cut.values() for x in parts if x not in self.known and len(x) <= SHORT}, key=len)
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
+        new = sorted((w for w in need if len(w) <= SHORT), key=len)
+        for at in range(0, len(new), 4096):
+            part = new[at : at + 4096]
             self.known.update(zip(part, self._segments(part), strict=True))
-        for w, parts in cut.items():
-            if len(parts) > 1:
-                self.known[w] = tuple(chain.from_iterable(map(self._remembered, parts)))
 
     def _parts(self, text: str) -> list[str]:
         """The text cut wherever no piece holds both neighbours; no best path crosses such a place."""
@@ -248,27 +260,41 @@ class Vocabulary:
         out: list[int] = []
         if not self.splits:
             return list(self.segment(MARK + text.replace(" ", MARK)))
-        held, feed = self.known, self.bytes.get(10)
+        if self.lines and MARK not in text and "  " not in text and " \n" not in text and text[0] != " " and text[-1] != " ":
+            return self._single_blanks(text)
+        feed = self.bytes.get(10)
         for k, line in enumerate((MARK + text.replace(" ", MARK)).split("\n") if self.lines else [MARK + text.replace(" ", MARK)]):
             if k:
                 out.append(feed)
             words = line.split(MARK)
             if words[0]:
                 out.extend(self._remembered(words[0]))
-            if "" in words[1:]:
-                # Runs of markers belong to the word after them.
-                run = 0
-                for w in words[1:]:
-                    run += 1
-                    if w:
-                        out.extend(self._remembered(MARK * run + w))
-                        run = 0
-                if run:
-                    out.extend(self._remembered(MARK * run))
-                continue
+            # Runs of markers belong to the word after them.
+            run = 0
             for w in words[1:]:
-                got = held.get(MARK + w)
-                out.extend(self._remembered(MARK + w) if got is None else got)
+                run += 1
+                if w:
+                    out.extend(self._remembered(MARK * run + w))
+                    run = 0
+            if run:
+                out.extend(self._remembered(MARK * run))
+        return out
+
+    def _single_blanks(self, text: str) -> list[int]:
+        """Where no two markers meet, each word has its own."""
+        out: list[int] = []
+        held, feed = self.known.__getitem__, self.bytes[10]
+        for k, line in enumerate((MARK + text.replace(" ", " " + MARK)).split("\n")):
+            if k:
+                out.append(feed)
+            words = line.split(" ")
+            if not words[0]:
+                del words[0]
+            try:
+                out.extend(chain.from_iterable([*map(held, words)]))
+            except KeyError:
+                for w in words:
+                    out.extend(self._remembered(w))
         return out
 
     def decode(self, ids) -> str:
