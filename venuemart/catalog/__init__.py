@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +37,20 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def small_ranges(spark: SparkSession, size: str = "64k") -> Iterator[None]:
+    """Files are cut into ranges of this size inside, so that small test tables make many. Read results there."""
+    keys = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "1k"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def load() -> None:
     """Import all query modules."""
     from venuemart.catalog import explore, learning, marts, pages, texts, venues  # noqa: F401

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from venuemart.catalog import query, scratch, table
+from venuemart.catalog import query, scratch, small_ranges, table
 from venuemart.catalog import sqltext as sql
 from venuemart.catalog.texts import _POLARITY, rounded, scored_events
 from venuemart.functions.urls import cache_key, hash256
@@ -318,3 +318,44 @@ def tsv_with_header(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch(spark, "tsv")
     labels.write.option("sep", "\t").option("header", True).csv(folder)
     return files.read_csv(spark, folder, "review string, sentiment string", sep="\t", multi_line=False)
+
+
+@query("SELECT doc_id, text, lang, n_chars, len(regexp_extract_all(text, chr(10))) AS breaks FROM documents")
+def csv_file_in_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents in one CSV file, line breaks and quotes in the text; read in ranges of 64 KB."""
+    folder = scratch(spark, "csv")
+    docs = table(spark, sf, "documents").select("doc_id", F.concat(F.lit('"'), "text", F.lit('",')).alias("text"), "lang", "n_chars")
+    files.write_csv(docs.coalesce(1), folder)
+    with small_ranges(spark):
+        read = files.read_csv(spark, folder, docs.schema).checkpoint()
+    text = F.expr("substring(text, 2, length(text) - 3)")
+    return read.select("doc_id", text.alias("text"), "lang", "n_chars", F.size(F.regexp_extract_all(text, F.lit("\n"), F.lit(0))).cast("long").alias("breaks"))
+
+
+@query("SELECT doc_id, text, lang, list_transform(range(0, doc_id % 4), lambda i: concat('],[', i)) AS tags FROM documents")
+def json_array_in_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents in one file that holds one JSON array, brackets and commas in its strings; read in ranges of 64 KB."""
+    folder = scratch(spark, "json")
+    docs = table(spark, sf, "documents").select(
+        "doc_id", "text", "lang", F.transform(F.sequence(F.lit(0), F.col("doc_id") % 4), lambda i: F.concat(F.lit("],["), i)).alias("tags")
+    )
+    docs = docs.withColumn("tags", F.slice("tags", 1, (F.col("doc_id") % 4).cast("int")))
+    # One line per element: the brackets stand on the first and the last line.
+    lines = docs.select(F.col("doc_id").alias("at"), F.concat(F.lit(","), F.to_json(F.struct(*docs.columns))).alias("value"))
+    last = docs.agg(F.max("doc_id") + 1).select(F.col("(max(doc_id) + 1)").alias("at"), F.lit("]").alias("value"))
+    opened = lines.withColumn("value", F.when(F.col("at") == 0, F.concat(F.lit("["), F.substring("value", 2, 1 << 30))).otherwise(F.col("value")))
+    opened.union(last).repartition(1).sortWithinPartitions("at").select("value").write.text(folder)
+    with small_ranges(spark):
+        return files.read_json_arrays(spark, folder, docs.schema, glob="part-*").checkpoint()
+
+
+@query("SELECT l_orderkey * 8 + l_linenumber AS value FROM lineitem")
+def json_numbers_in_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """A plain array of numbers on one line, read in ranges of 64 KB."""
+    folder = scratch(spark, "json")
+    ids = table(spark, sf, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("v"))
+    first, last = ids.agg(F.min("v"), F.max("v")).first()
+    text = F.concat(F.when(F.col("v") == first, "[").otherwise(","), "v", F.when(F.col("v") == last, "]").otherwise(""))
+    ids.repartition(1).sortWithinPartitions("v").select(text.alias("value")).write.option("lineSep", " ").text(folder)
+    with small_ranges(spark):
+        return files.read_json_values(spark, folder, "long", True, glob="part-*").checkpoint()

@@ -42,7 +42,7 @@ def concat_data(
     plain value such as `int` or `array<struct<a: int>>`; with `is_list` files hold lists of it.
     """
     if isinstance(_parse_datatype_string(schema), T.StructType) and not schema.lstrip().lower().startswith("struct<"):
-        data = files.read_json_folder(spark, input, schema)
+        data = files.read_json_arrays(spark, input, schema)
     else:
         data = files.read_json_values(spark, input, schema, is_list)
     files.write(data, output, format)
@@ -50,7 +50,7 @@ def concat_data(
 
 def process_register(spark: SparkSession, input: str, output: str, schema: str = schemas.REGISTER_RAW) -> None:
     """Every field of `Cells` that the schema declares becomes a column."""
-    write_table(register.flatten_register(files.read_json_folder(spark, input, schema)), output)
+    write_table(register.flatten_register(files.read_json_arrays(spark, input, schema)), output)
 
 
 def register_mart(spark: SparkSession, input: str, output: str, strict_reference: bool = False) -> None:
@@ -59,7 +59,7 @@ def register_mart(spark: SparkSession, input: str, output: str, strict_reference
 
 def collect_register(spark: SparkSession, input: str, output: str) -> None:
     """Raw export to mart in one go, nothing stored in between."""
-    raw = files.read_json_folder(spark, input, schemas.REGISTER_RAW)
+    raw = files.read_json_arrays(spark, input, schemas.REGISTER_RAW)
     write_table(register.register_mart(register.flatten_register(raw)), output)
 
 
@@ -166,7 +166,7 @@ def train_sentiment_model(spark: SparkSession, input: str, output: str, **settin
 
 def load_sentiment(spark: SparkSession, reviews_tsv: str, splits: list[str], output_reviews: str, output_splits: str):
     """Tab-separated labelled texts with a header, and header-less splits of another set, to tables."""
-    write_table(files.read_csv(spark, reviews_tsv, schemas.SENTIMENT_RAW, sep="\t"), output_reviews)
+    write_table(files.read_csv(spark, reviews_tsv, schemas.SENTIMENT_RAW, sep="\t", multi_line=False), output_reviews)
     write_table(files.read_csv(spark, splits, schemas.SENTIMENT_RAW, sep="\t", header=False, multi_line=False), output_splits)
 
 

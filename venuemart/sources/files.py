@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from venuemart.sources import ranges
+
 
 def _schema(ddl: str | T.StructType) -> T.StructType:
     return ddl if isinstance(ddl, T.StructType) else T.StructType.fromDDL(ddl)
@@ -21,14 +23,27 @@ def read_json_folder(spark: SparkSession, folder: str, schema: str | T.StructTyp
     )
 
 
-def read_json_values(spark: SparkSession, folder: str, value: str, flatten: bool) -> DataFrame:
+def read_json_arrays(spark: SparkSession, folder: str, schema: str | T.StructType, source: str | None = None, glob: str = "*.json") -> DataFrame:
+    """As `read_json_folder`, for files of any size: the elements of one array are read by many tasks.
+
+    `source` names a column for the path of the file. Elements that do not fit the schema are rows of nulls.
+    """
+    wanted = _schema(schema)
+    values = ranges.json_values(spark, folder, glob).select("path", F.from_json("value", wanted).alias("row"))
+    return values.select("row.*", *([F.col("path").alias(source)] if source else []))
+
+
+def read_json_values(spark: SparkSession, folder: str, value: str, flatten: bool, glob: str = "*.json") -> DataFrame:
     """A folder of `*.json` files holding any value of type `value`; with `flatten`, arrays of it.
 
-    Gives one column `value`. Meant for arrays of plain values, which the JSON source cannot read.
+    Gives one column `value`. Meant for arrays of plain values, which the JSON source cannot read. Arrays are read
+    by many tasks, a file that is one value by one.
     """
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(folder)
     if flatten:
-        return files.select(F.explode(F.from_json("value", f"array<{value}>")).alias("value"))
+        found = ranges.json_values(spark, folder, glob)
+        wrapped = F.from_json(F.concat(F.lit('{"v":'), F.col("value"), F.lit("}")), f"v {value}")
+        return found.select(wrapped["v"].alias("value"))
+    files = spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(folder)
     wrapped = F.from_json(F.concat(F.lit('{"v":'), F.col("value"), F.lit("}")), f"v {value}")
     return files.select(wrapped["v"].alias("value"))
 
@@ -41,18 +56,21 @@ def read_csv(
     header: bool = True,
     multi_line: bool = True,
 ) -> DataFrame:
-    """CSV, by default with quoted line breaks (then each file is read by one task). Array, map and struct columns are read back from JSON text."""
+    """CSV, by default with quoted line breaks. Array, map and struct columns are read back from JSON text.
+
+    A file of any size is read by many tasks, also with line breaks in quotes (`ranges.csv_records`); without
+    them (`multi_line=False`) the files are read once instead of twice.
+    """
     wanted = _schema(schema)
     raw = T.StructType([T.StructField(f.name, _flat_type(f.dataType), True) for f in wanted.fields])
-    df = (
-        spark.read.schema(raw)
-        .option("sep", sep)
-        .option("header", header)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(paths)
-    )
+    options = {"sep": sep, "quote": '"', "escape": '"'}
+    if multi_line:
+        records = ranges.csv_records(spark, paths)
+        records = records.where("NOT first") if header else records
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in raw.fields)
+        df = records.select(F.from_csv("value", ddl, {**options, "multiLine": "true"}).alias("row")).select("row.*")
+    else:
+        df = spark.read.schema(raw).options(header=header, **options).csv(paths)
     nested = [f for f in wanted.fields if raw[f.name].dataType != f.dataType]
     return df.withColumns({f.name: F.from_json(f.name, f.dataType) for f in nested}) if nested else df
 
