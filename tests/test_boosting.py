@@ -106,7 +106,7 @@ def test_constant_features_and_a_missing_class(spark):
 
 def test_estimator_learns_saves_and_keeps_columns(spark, tmp_path):
     x, y = made(300, 4, 4)
-    df = spark.createDataFrame([(k, Vectors.dense(r.tolist()), float(v)) for k, (r, v) in enumerate(zip(x, y, strict=True))], "id long, components vector, label double")
+    df = spark.createDataFrame([(k, Vectors.dense(r.tolist()), float(v)) for k, (r, v) in enumerate(zip(x, y, strict=True))], ["id", "components", "label"])
     model = PipelineModel(stages=[boosting.SoftmaxBoosting(rounds=25).fit(df)])
     model.write().overwrite().save(str(tmp_path / "m"))
     out = PipelineModel.load(str(tmp_path / "m")).transform(df)
