@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from venuemart.lexicons import EARTH_RADIUS
-from venuemart.operators import explore, ids, match, mentions, skew, stats
+from venuemart.operators import explore, ids, lemmas, match, mentions, skew, stats
 from venuemart.plans.listing import review_sentences
 
 
@@ -298,6 +298,58 @@ def test_lemmatise(spark):
     assert rows(mentions.lemmatise_with(df, "t", lambda w: known.get(w, w), "n").select("k", "n")) == want
 
 
+def test_lemma_given_twice(spark):
+    df = spark.createDataFrame([(1, "b a b")], "k long, t string")
+    lemmas = spark.createDataFrame([("b", "z"), ("b", "c"), ("a", None), (None, "x")], "token string, lemma string")
+    for most in (256, 0):
+        assert mentions.lemmatise(df, "t", lemmas, "n", rows=most).first().n == "c a c"
+
+
+def brute_rules(pairs, context, longest):
+    votes = {}
+    for token, lemma in {p for p in pairs if p[0] and p[1] is not None}:
+        stem = 0
+        while stem < min(len(token), len(lemma)) and token[stem] == lemma[stem]:
+            stem += 1
+        cut = len(token) - stem
+        for n in range(max(cut, 1), min(cut + context, len(token)) + 1):
+            if n <= longest:
+                held = votes.setdefault(token[-n:], {})
+                held[cut, lemma[stem:]] = held.get((cut, lemma[stem:]), 0) + 1
+    return {s: min((-v, c, e) for (c, e), v in held.items()) for s, held in votes.items()}
+
+
+def test_suffix_rules_against_brute_force(spark):
+    rng = random.Random(11)
+    stems = ["".join(rng.choices("абвгд", k=rng.randint(0, 6))) for _ in range(80)]
+    pairs = [(s + a, s + b) for s in stems for a, b in rng.sample([("ами", ""), ("ов", ""), ("ый", "ый"), ("ая", "ый"), ("ы", "а"), ("", "ть"), ("шли", "идти")], 3)]
+    pairs += [("пошли", "идти"), ("", "x"), (None, "x"), ("x", None), *pairs[:5]]
+    table = spark.createDataFrame(pairs, "token string, lemma string")
+    rules = lemmas.suffix_rules(table)
+    want = brute_rules(pairs, lemmas.CONTEXT, lemmas.LONGEST)
+    assert {r.suffix: (-r.votes, r.cut, r.ending) for r in rules.collect()} == want
+    words = ["дгами", "ббая", "ы", "вгов", "zzz", "", None, "дгами", "пришли", "а" * 40 + "ами"]
+    got = {r.token: r.lemma for r in lemmas.apply_rules(spark.createDataFrame([(w,) for w in words], "token string"), rules).collect()}
+    guess = {}
+    for w in filter(None, words):
+        n = next((n for n in range(min(len(w), lemmas.LONGEST), 0, -1) if w[-n:] in want), 0)
+        if n:
+            _, cut, ending = want[w[-n:]]
+            guess[w] = w[: len(w) - cut] + ending
+    assert got == guess and "zzz" not in got
+    df = spark.createDataFrame([(1, "дгами zzz пошли")], "k long, t string")
+    every = lemmas.with_unknown(df, "t", table)
+    assert mentions.lemmatise(df, "t", every, "n", rows=0).first().n == f"{guess['дгами']} zzz идти"
+
+
+def test_lemmas_without_python_workers(spark):
+    df = spark.createDataFrame([(1, "a b")], "k long, t string")
+    table = spark.createDataFrame([("a", "z")], "token string, lemma string")
+    for most in (256, 0):
+        plan = mentions.lemmatise(df, "t", table, "n", rows=most)._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan
+
+
 def test_histogram_last_bin_is_closed(spark):
     df = spark.createDataFrame([(float(v),) for v in range(11)] + [(None,)], "x double")
     assert [(r.bin, r["count"]) for r in explore.histogram(df, "x", 5).orderBy("bin").collect()] == [(0, 2), (1, 2), (2, 2), (3, 2), (4, 3)]

@@ -9,6 +9,7 @@ from venuemart.catalog import query, table
 from venuemart.catalog import sqltext as sql
 from venuemart.functions import scores, text, urls
 from venuemart.operators import ids, mentions, stats
+from venuemart.operators import lemmas as lemma_rules_of
 from venuemart.plans import listing, reviews
 
 # Frequent words of the test texts stand in for dishes and for inflected forms.
@@ -141,6 +142,55 @@ def lemma_rewrite(spark: SparkSession, sf: str) -> DataFrame:
     return mentions.lemmatise(docs, "clean", lemmas, "lemmas").select("key", "doc_id", "lemmas")
 
 
+# Endings of made-up inflections (token, lemma) by the last letter of a stem.
+_ENDINGS = [("[aeiou]", "s", ""), ("[aeiou]", "d", ""), ("[lnrst]", "ings", "e"), ("[lnrst]", "ed", "e"), ("[^aeioulnrst]", "ies", "y"), ("[^aeioulnrst]", "ly", "")]
+
+
+def _inflected(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs (token, lemma): every plain word of five letters and more, inflected; `held_out` is one in five."""
+    words = table(spark, sf, "documents").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{5,}"), F.lit(0))).alias("w")).distinct()
+    every = F.array(*[F.struct(F.lit(a).alias("last"), F.lit(b).alias("token_end"), F.lit(c).alias("lemma_end")) for a, b, c in _ENDINGS])
+    forms = words.select("w", F.inline(every))
+    made = forms.where(F.expr("right(w, 1) RLIKE last"))
+    return made.select(
+        F.concat("w", "token_end").alias("token"), F.concat("w", "lemma_end").alias("lemma"), (F.substring(F.md5("w"), 1, 1) < "3").alias("held_out")
+    ).distinct()
+
+
+_INFLECTED = (
+    r"words AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{5,}')) AS w FROM documents), "
+    "pairs AS (SELECT DISTINCT w || te AS token, w || le AS lemma, md5(w)[1] < '3' AS held_out FROM words, (VALUES "
+    + ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in _ENDINGS)
+    + ") v(last, te, le) WHERE regexp_matches(w[-1], last)), "
+    "stems AS (SELECT token, lemma, (SELECT count(*) FROM range(1, least(len(token), len(lemma)) + 1) r(i) WHERE token[1:i] = lemma[1:i]) AS stem FROM pairs WHERE NOT held_out), "
+    "changes AS (SELECT token, len(token) - stem AS cut, lemma[stem + 1:] AS ending FROM stems), "
+    f"votes AS (SELECT right(token, n) AS suffix, cut, ending, count(*) AS votes FROM (SELECT *, unnest(range(greatest(cut, 1), least(cut + {lemma_rules_of.CONTEXT}, len(token)) + 1)) AS n FROM changes) "
+    f"WHERE n <= {lemma_rules_of.LONGEST} GROUP BY ALL), "
+    "rules AS (SELECT * FROM votes QUALIFY row_number() OVER (PARTITION BY suffix ORDER BY votes DESC, cut, ending) = 1)"
+)
+
+
+@query(f"WITH {_INFLECTED} SELECT suffix, cut, ending, votes FROM rules")
+def lemma_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return lemma_rules_of.suffix_rules(_inflected(spark, sf).where("NOT held_out"))
+
+
+@query(
+    f"WITH {_INFLECTED}, asked AS (SELECT DISTINCT token FROM pairs WHERE held_out), "
+    f"found AS (SELECT a.token, left(a.token, len(a.token) - cut) || ending AS guess FROM asked a, rules r WHERE suffix = right(a.token, len(suffix)) AND len(suffix) <= least(len(a.token), {lemma_rules_of.LONGEST}) "
+    "QUALIFY row_number() OVER (PARTITION BY a.token ORDER BY len(suffix) DESC) = 1) "
+    "SELECT p.token, p.lemma, guess, p.lemma = guess AS hit, (SELECT avg((x.lemma = y.guess)::INT) >= 0.9 FROM pairs x JOIN found y ON x.token = y.token WHERE x.held_out) AS nine_in_ten "
+    "FROM pairs p JOIN found f ON p.token = f.token WHERE p.held_out"
+)
+def lemmas_of_unknown_words(spark: SparkSession, sf: str) -> DataFrame:
+    """Held-out pairs of the lemma table beside what the rules of the others make of their tokens."""
+    pairs = _inflected(spark, sf)
+    held = pairs.where("held_out").select("token", "lemma")
+    guess = lemma_rules_of.apply_rules(held, lemma_rules_of.suffix_rules(pairs.where("NOT held_out"))).withColumnRenamed("lemma", "guess")
+    out = held.join(guess, "token").withColumn("hit", F.col("lemma") == F.col("guess"))
+    return out.withColumn("nine_in_ten", out.agg(F.avg(F.col("hit").cast("int")) >= 0.9).scalar())
+
+
 @query("SELECT s_suppkey, sha256(s_name) AS name_hash, lower(s_name) AS name_lower FROM supplier")
 def row_hash(spark: SparkSession, sf: str) -> DataFrame:
     name = F.col("s_name")

@@ -8,16 +8,18 @@ from pyspark.sql import functions as F
 
 from venuemart.functions.text import BLANK, tokens
 from venuemart.lexicons import DISH_LEMMAS
-from venuemart.operators.skew import BROADCAST_ROWS, lookup_join, skew_join
+from venuemart.operators.skew import lookup_join
 from venuemart.session import use_checkpoints
 
 # Words that are looked for before the tokens are counted; a longer lexicon is met by the counted tokens alone.
 FILTERED_WORDS = 1000
+# Lemmas that are written into the expression.
+LITERAL_LEMMAS = 256
 
 
 def token_counts(words: Column) -> Column:
     """Distinct elements of an array with their number, array<struct<token, count>>, in one sorted pass."""
-    ordered = F.array_sort(words)
+    ordered = F.sort_array(words)
     size = F.size(words)
     starts = lambda s: F.filter(
         F.sequence(F.lit(0), size - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1))
@@ -67,23 +69,27 @@ def with_features(mentions: DataFrame, df: DataFrame, keys: list[str], features:
     return mentions.join(df.select(*keys, *features), keys, "left").select(*mentions.columns, *features)
 
 
-def lemmatise(df: DataFrame, text: str, lemmas: DataFrame, out: str, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Replace every token by its lemma; unknown tokens stay.
+def lemmatise(df: DataFrame, text: str, lemmas: DataFrame, out: str, rows: int = LITERAL_LEMMAS) -> DataFrame:
+    """Replace every token by its lemma; unknown tokens stay (`lemmas.with_unknown` adds lemmas for them).
 
-    `lemmas` is a table (token, lemma), tokens unique. Up to `rows` of them are sent to every task, which looks
-    the tokens up row by row without a shuffle. A larger table meets the tokens in a balanced join; they are
-    put together again by a row number, so no column of `df` needs to be a key.
+    `lemmas` is a table (token, lemma); a token given twice has the smallest of its lemmas. Up to `rows` of them
+    become part of the expression, and texts stay where they are. A larger table meets the tokens in a join, sent
+    to every task if it is measured to be small; they are put together again by a row number, so no column of
+    `df` needs to be a key.
     """
-    spark = df.sparkSession
-    held = lemmas.select("token", "lemma").where("token is not null and lemma is not null")
-    small = held.limit(rows + 1).toPandas()
+    held = lemmas.where("token IS NOT NULL AND lemma IS NOT NULL").groupBy("token").agg(F.min("lemma").alias("lemma"))
+    small = held.limit(rows + 1).collect()
     if len(small) <= rows:
-        sent = spark.sparkContext.broadcast(dict(zip(small["token"], small["lemma"])))
-        return lemmatise_with(df, text, lambda w: sent.value.get(w, w), out)
-    use_checkpoints(spark)
+        known = F.create_map(*[F.lit(x) for r in small for x in (r.token, r.lemma)]) if small else None
+        names = [r.token for r in small]
+        # The set is hashed; the map is searched for words in it only.
+        rewrite = lambda t: F.when(t.isin(names), known[t]).otherwise(t)
+        words = tokens(F.col(text))
+        return df.withColumn(out, F.array_join(F.transform(words, rewrite) if small else words, " "))
+    use_checkpoints(df.sparkSession)
     rows_of = df.withColumn("_rid", F.monotonically_increasing_id()).checkpoint()
     words = rows_of.select("_rid", F.posexplode(tokens(F.col(text))).alias("_pos", "token"))
-    looked_up = skew_join(words, held, ["token"], "left")
+    looked_up = lookup_join(words, held, ["token"], "left")
     order = F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("lemma", "token").alias("w"))))
     rewritten = looked_up.groupBy("_rid").agg(F.array_join(F.transform(order, lambda p: p["w"]), " ").alias("_lemmas"))
     # A text without tokens has no group: NULL stays NULL, blank becomes empty.
