@@ -172,3 +172,15 @@ def test_one_per_group(spark):
 
 def test_simhash_of_nothing(spark):
     assert simhash.simhash_dedup(frame(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("old", [[], [0, 3], [1, 4], [0, 1, 2, 3, 4, 5, 6]])
+def test_exact_dedup_of_large_ids_and_nulls(spark, old):
+    """Whole numbers beyond 2^53 beside null ids, in the history, among the others, and in both."""
+    big = 2**60
+    rows = [(big + 3, "a  b"), (big + 1, "a b"), (None, "a b"), (None, "a b"), (big + 5, "c"), (None, "d"), (-big - 1, None)]
+    df = spark.createDataFrame([(k, i, t) for k, (i, t) in enumerate(rows)], "n int, doc_id bigint, text string")
+    got = exact_dedup.exact_dedup(df, F.col("n").isin(old) if old else F.lit(False)).collect()
+    kept = sorted(((r.doc_id, r.keep_id, r.group_size) for r in got if r.kept), key=repr)
+    assert kept == sorted([(big + 1, big + 1, 4), (big + 5, big + 5, 1), (None, None, 1), (-big - 1, -big - 1, 1)], key=repr)
+    assert {(r.doc_id, r.keep_id) for r in got} == {(big + 3, big + 1), (big + 1, big + 1), (None, big + 1), (big + 5, big + 5), (None, None), (-big - 1, -big - 1)}

@@ -13,8 +13,8 @@ from venuemart.llm.common import SPACE_RUN, parts_for, stored, text_of
 #: Digests of one shard of the index, about 60 bytes each.
 SHARD = 100_000
 
-INDEX = "shard int, levels array<int>, bits binary, digests binary, ids array<bigint>, rows array<bigint>, sizes array<bigint>"
-GROUPS = "digest binary, keep_id bigint, keep_row bigint, group_size bigint"
+INDEX = "shard int, levels array<int>, bits binary, digests binary, nones array<boolean>, ids array<bigint>, rows array<bigint>, sizes array<bigint>"
+GROUPS = "digest binary, keep_none boolean, keep_id bigint, keep_row bigint, group_size bigint"
 
 
 def digest_of(text: Column) -> Column:
@@ -34,24 +34,17 @@ def _build(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
     slot = mphf.Slots(levels, bits).find(a, b)
     order = np.argsort(slot)
     row = [key[0], levels, bits, held[order].tobytes()]
-    row += [part[c].iloc[order].tolist() for c in ("id", "row", "size")]
-    row[4] = [None if pd.isna(x) else int(x) for x in row[4]]
-    return pd.DataFrame([row], columns=["shard", "levels", "bits", "digests", "ids", "rows", "sizes"])
-
-
-def _first(a: tuple, b: tuple) -> tuple:
-    """The smaller (id, row); a null id comes last."""
-    return min(a, b, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+    row += [part[c].iloc[order].tolist() for c in ("none", "id", "row", "size")]
+    return pd.DataFrame([row], columns=["shard", "levels", "bits", "digests", "nones", "ids", "rows", "sizes"])
 
 
 def _probe(key: tuple, new: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
-    ids = [None if pd.isna(x) else int(x) for x in new["id"]]
-    came = list(zip(ids, new["row"], new["size"], strict=True))
+    came = list(zip(*(new[c].tolist() for c in ("none", "id", "row", "size")), strict=True))
     if not len(index):
         return pd.DataFrame([(d, *x) for d, x in zip(new["digest"], came, strict=True)], columns=_COLUMNS)
     at = index.iloc[0]
     slots = np.frombuffer(at["digests"], np.uint8).reshape(-1, 32)
-    keep = [(None if i is None or pd.isna(i) else int(i), int(r), int(s)) for i, r, s in zip(at["ids"], at["rows"], at["sizes"], strict=True)]
+    keep = list(zip(*(at[c].tolist() for c in ("nones", "ids", "rows", "sizes")), strict=True))
     out = []
     if len(new):
         held, a, b = _halves(new["digest"])
@@ -60,14 +53,15 @@ def _probe(key: tuple, new: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
         for digest, x, k, known in zip(new["digest"], came, slot, member, strict=True):
             if known:
                 old = keep[k]
-                keep[k] = (*_first(old[:2], x[:2]), old[2] + x[2])
+                # The smaller id, then row; no id comes last.
+                keep[k] = (*min(old[:3], x[:3]), old[3] + x[3])
             else:
                 out.append((digest, *x))
     out += [(slots[k].tobytes(), *x) for k, x in enumerate(keep)]
     return pd.DataFrame(out, columns=_COLUMNS)
 
 
-_COLUMNS = ["digest", "keep_id", "keep_row", "group_size"]
+_COLUMNS = ["digest", "keep_none", "keep_id", "keep_row", "group_size"]
 
 
 def history_index(groups: DataFrame, shards: int) -> DataFrame:
@@ -97,11 +91,12 @@ def exact_dedup(docs: DataFrame, historical: Column, id_col: str = "doc_id", tex
     keyed = stored(keyed, "digests")
     best = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row").alias("row")))
     groups = keyed.groupBy("digest", "old").agg(best.alias("best"), F.count(F.lit(1)).alias("size"))
-    groups = stored(groups.select("digest", "old", "best.id", "best.row", "size"), "groups")
+    # Ids go to Python without nulls, beside a flag, and so stay whole numbers.
+    groups = stored(groups.select("digest", "old", "best.none", F.coalesce("best.id", F.lit(0)).alias("id"), "best.row", "size"), "groups")
     shards = parts_for(groups.count(), SHARD)
     index = stored(history_index(groups.where("old").drop("old"), shards), "index")
     new = groups.where(~F.col("old")).drop("old").withColumn("shard", _shard(shards))
     found = new.groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(_probe, GROUPS)
     return keyed.join(found, "digest").select(
-        F.col("id").alias(id_col), "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")
+        F.col("id").alias(id_col), F.when(~F.col("keep_none"), F.col("keep_id")).alias("keep_id"), "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")
     )
