@@ -4,6 +4,7 @@ import itertools
 import os
 import random
 import re
+import time
 from html import unescape
 
 import pytest
@@ -75,6 +76,31 @@ def test_long_and_deep_pages():
     assert html_cut.main_text(deep).count("\n") == 3000
 
 
+@pytest.mark.parametrize("unit", ['<a href="', "<a href='", '<a href="x>', "<a b='c\" ", "<", "<a ", "<!-", "</a", '<p title="\'">', "<b>'"])
+@pytest.mark.parametrize("tail", ["", ">", '">', "'>\""])
+def test_broken_pages_take_linear_time(unit, tail):
+    start = time.perf_counter()
+    html_cut.main_text(unit * 60_000 + tail)
+    assert time.perf_counter() - start < 4
+
+
+def test_tags_end_as_the_pattern_says():
+    """Against the plain pattern, which takes quadratic time on broken pages."""
+    plain = re.compile(r"""<(/?)([a-zA-Z][^\s/>"']*)((?:[^>"']|"[^"]*"|'[^']*')*)>""")
+    rng = random.Random(8)
+    for _ in range(3000):
+        html = "".join(rng.choices(["<a", "<b ", "</p", ">", '"', "'", " x=", "t", "/"], k=rng.randint(1, 14)))
+        tags = html_cut.Tags(html)
+        for at in [k for k, c in enumerate(html) if c == "<"]:
+            name, want = html_cut._open.match(html, at), plain.match(html, at)
+            assert (tags.end(name.end()) if name else -1) == (want.end() - 1 if want else -1), (html, at)
+
+
+@pytest.mark.parametrize("name, kept", [("story banner-story", True), ("post promo-post", True), ("banner-story", False), ("story banner", False), ("post post-comment", False), ("comment-content content", False)])
+def test_looks_of_an_article(name, kept):
+    assert html_cut.main_text(f"<body><div class='{name}'><p>{PLAIN}</p><p>{PLAIN}</p></div>") == (f"{PLAIN.strip()}\n{PLAIN.strip()}" if kept else "")
+
+
 def test_table(spark):
     rows = [(1, "u", "<article><p>text</p></article>", 5, "r"), (2, None, None, None, None), (1, "u", "<article><p>text</p></article>", 5, "r")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text int, row string")

@@ -9,6 +9,7 @@ flow leaves the blocks that the source still reaches: the labelling with the lea
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import deque
 from html import unescape
 
@@ -45,10 +46,16 @@ BOILERPLATE = frozenset(
     pagination pager toolbar masthead skip copyright complementary contentinfo teaser teasers feedback discussion outbrain taboola""".split()
 )
 CONTENT = frozenset("article content post entry story maincontent articlebody main body text prose".split())
+#: Words that also name the look of an article.
+LOOKS = frozenset("banner notice promo promotion sponsored alert teaser social share widget".split())
 ALWAYS_OUT = frozenset("nav footer aside dialog menu".split())
 QUALIFIERS = frozenset("has with no without is js not".split())
 
-_token = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|<(?=[^a-zA-Z/!?])|</?[a-zA-Z][^<]*\Z|</[^>]*>|<|[^<]+""", re.S)
+_open = re.compile(r"""<(/?)([a-zA-Z][^\s/>"']*)""")
+_special = re.compile("[>\"']")
+_other = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?=[^a-zA-Z/!?])|</?[a-zA-Z][^<]*\Z|</[^>]*>|<|[^<]+""", re.S)
+# Where no > is left, no such tag is looked for.
+_rest = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?=[^a-zA-Z/!?])|</?[a-zA-Z][^<]*\Z|<|[^<]+""", re.S)
 _named = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 _ends = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
 _words = re.compile(r"[A-Za-z]+")
@@ -75,7 +82,7 @@ class Element:
         self.plain = bool(parent and parent.plain)
         if not parent:
             return
-        bad = good = hidden = False
+        bad = good = hidden = whole = looks = False
         if attributes and not attributes.isspace():
             for key, value in _named.findall(attributes):
                 key, value = key.lower(), value.strip("\"'").lower()
@@ -85,7 +92,12 @@ class Element:
                 for name_ in value.split():
                     parts = _words.findall(name_)
                     if parts and parts[0] not in QUALIFIERS:
-                        bad, good = bad or not BOILERPLATE.isdisjoint(parts), good or not CONTENT.isdisjoint(parts)
+                        found, fine = BOILERPLATE.intersection(parts), not CONTENT.isdisjoint(parts)
+                        good, whole = good or fine, whole or (fine and not found)
+                        # "banner-story" beside "story" is a look of the story.
+                        if found:
+                            bad, looks = bad or not (fine and found <= LOOKS), looks or (fine and found <= LOOKS)
+        bad = bad or (looks and not whole)
         if name in ("html", "body"):
             return
         if name in ("article", "main"):
@@ -112,6 +124,38 @@ def _pop(stack: list[Element], names: frozenset | set, stop: frozenset = frozens
             return
 
 
+class Tags:
+    """Where the tags of a page end: at the first > outside quotes.
+
+    From a quote or > on, the way to that end is the same for all tags that come there, so it is remembered: a
+    page of unclosed quotes is still read in linear time.
+    """
+
+    def __init__(self, html: str):
+        self.html, self.last = html, html.rfind(">")
+        self.places = [m.start() for m in _special.finditer(html)]
+        self.end_from: dict[int, int] = {}
+
+    def end(self, at: int) -> int:
+        """Place of the > that ends a tag whose name ends at `at`; -1 if there is none."""
+        way, found = [], -1
+        while at <= self.last:
+            k = self.places[bisect_left(self.places, at)]
+            if k in self.end_from:
+                found = self.end_from[k]
+                break
+            way.append(k)
+            if self.html[k] == ">":
+                found = k
+                break
+            at = self.html.find(self.html[k], k + 1) + 1
+            if not at:
+                break
+        for k in way:
+            self.end_from[k] = found
+        return found
+
+
 def blocks(html: str) -> list[tuple[str, int, Element]]:
     """(text, characters inside links, element) of each block of the page."""
     stack = [Element("html", "", None)]
@@ -130,13 +174,14 @@ def blocks(html: str) -> list[tuple[str, int, Element]]:
         linked = 0
 
     at, end = 0, len(html)
-    match = _token.match
+    tags = Tags(html)
     while at < end:
-        m = match(html, at)
-        at = m.end()
-        name = m[2]
-        if name is None:
-            text = m[0]
+        m = _open.match(html, at)
+        close = tags.end(m.end()) if m else -1
+        if close < 0:
+            other = (_other if at < tags.last else _rest).match(html, at)
+            at = other.end()
+            text = other[0]
             if (text[0] != "<" or text == "<") and not stack[-1].gone:
                 if not parts:
                     home = next(e for e in reversed(stack) if e.name not in INLINE)
@@ -144,11 +189,11 @@ def blocks(html: str) -> list[tuple[str, int, Element]]:
                 if links:
                     linked += len(text)
             continue
-        name = name.lower()
+        name, attributes, at = m[2].lower(), html[m.end() : close], close + 1
         if name == "br":
             parts.append(" ")
         elif name in RAW:
-            if not m[1] and not m[3].endswith("/"):
+            if not m[1] and not attributes.endswith("/"):
                 shut = _ends[name].search(html, at)
                 at = shut.end() if shut else end
                 stack[-1].gone or flush()
@@ -157,21 +202,21 @@ def blocks(html: str) -> list[tuple[str, int, Element]]:
             if m[1]:
                 _pop(stack, {name})
                 links = int(any(e.name == "a" for e in stack))
-            elif not m[3].endswith("/"):
+            elif not attributes.endswith("/"):
                 if name in ("button", "select"):
                     _pop(stack, {"button", "select"} if name == "button" else {"select"}, HOLDS_SMALL)
                 stack[-1].gone or name in IN_LINE or flush()
-                stack.append(Element(name, m[3], stack[-1]))
+                stack.append(Element(name, attributes, stack[-1]))
             parts and parts.append(" ")
         elif name in INLINE:
             if m[1]:
                 if name == "a":
                     links = max(0, links - 1)
                 _pop(stack, {name}, HOLDS)
-            elif not m[3].endswith("/"):
+            elif not attributes.endswith("/"):
                 if name == "a":
                     links = 1
-                stack.append(Element(name, m[3], stack[-1]))
+                stack.append(Element(name, attributes, stack[-1]))
         elif m[1]:
             inside = stack[-1].gone
             _pop(stack, {name})
@@ -199,7 +244,7 @@ def blocks(html: str) -> list[tuple[str, int, Element]]:
                 _pop(stack, CLOSES_SAME[name], frozenset({"ul", "ol", "dl", "table"}) | LEFT_OUT)
             if name in ("html", "body", "head"):
                 continue
-            stack.append(Element(name, m[3], stack[-1]))
+            stack.append(Element(name, attributes, stack[-1]))
     flush()
     return out
 
