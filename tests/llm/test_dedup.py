@@ -90,6 +90,15 @@ def test_line_dedup(spark, common, shard):
         assert sorted(got, key=repr) == lines_truth(texts, 4, chars)
 
 
+def test_only_repeated_lines_are_indexed(spark):
+    texts = [(k, f"shared {k % 4}\nown {k}") for k in range(40)]
+    base = frame(spark, texts).select("text", F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(1), "text").alias("k2"))
+    sent, verdicts, _ = line_dedup.repeated_lines(base, 10)
+    assert verdicts is None and len(line_dedup.Lines(*sent.value).counts) == 4
+    sent, verdicts, _ = line_dedup.repeated_lines(base, 10, common=7)
+    assert len(line_dedup.Lines(*sent.value).counts) == 0 and verdicts.count() == 40
+
+
 def test_line_dedup_of_nothing(spark):
     assert line_dedup.drop_lines(frame(spark, [])).collect() == []
 

@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 from venuemart.llm import mphf
 from venuemart.llm.common import packed, parts_for, stored, text_of, with_fields
 
-#: The lines of most documents, at most this many, go to every executor (25 bytes each).
-COMMON = 20_000
+#: The repeated lines of most documents, at most this many, go to every executor (13 bytes each).
+COMMON = 1_000_000
 #: Probes that one shard of the other lines gets, on average.
 SHARD = 500_000
 
@@ -44,9 +44,7 @@ def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes.append(len(keys))
         keys = np.concatenate(parts).view(np.int64) if parts else np.zeros((0, 2), np.int64)
         back = [np.repeat(batch.column(c).to_numpy(zero_copy_only=False), sizes) for c in ("k1", "k2")]
-        first = np.zeros(len(keys), bool)
-        first[np.cumsum([0, *sizes[:-1]])[: len(sizes)]] = True
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*back, keys[:, 0].copy(), keys[:, 1].copy(), first)], ["k1", "k2", "a", "b", "first"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*back, keys[:, 0].copy(), keys[:, 1].copy())], ["k1", "k2", "a", "b"])
 
 
 def arrays(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[list[int], bytes, bytes, bytes]:
@@ -79,23 +77,27 @@ def _build(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
 
 
 def repeated_lines(docs: DataFrame, min_docs: int, common: int = COMMON, shard: int = SHARD):
-    """What `drop_lines` needs: the arrays of the common lines, the repeated other lines of each text, and the
-    texts that have no such lines because they are common themselves.
+    """What `drop_lines` needs: the arrays of the common lines, and, unless these are all repeated lines, the other
+    repeated lines of each text and the texts that have none because they are common themselves.
 
-    docs: text, k1, k2 (two hashes of the text). A line is common if at least total / `common` documents have
-    it, so there are at most `common` such lines whatever the data; no other line fills more than that share
-    of the probes, which makes the shards even. Texts are told by their hashes: the verdicts on the lines of
-    equal texts are the same.
+    docs: text, k1, k2 (two hashes of the text). Only lines of at least `min_docs` documents are indexed, no other
+    line can go. A line is common if also at least total / `common` documents have it, so there are at most `common`
+    such lines whatever the data; no other line fills more than that share of the probes, which makes the shards
+    even. Texts are told by their hashes: the verdicts on the lines of equal texts are the same.
     """
     spark = docs.sparkSession
-    lines = docs.select("text", "k1", "k2").mapInArrow(_explode, "k1 bigint, k2 bigint, a bigint, b bigint, first boolean")
-    lines = stored(lines, "lines")
-    counts = stored(lines.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")), "counts")
-    total = lines.count()
+    lines = docs.select("text", "k1", "k2").mapInArrow(_explode, "k1 bigint, k2 bigint, a bigint, b bigint")
+    held_counts = lines.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    # Lines of fewer documents are only counted, by their number of documents; nothing else of them is kept.
+    counts = stored(held_counts.groupBy("n", F.when(F.col("n") >= min_docs, F.struct("a", "b")).alias("line")).agg(F.count(F.lit(1)).alias("m")), "counts")
+    total = counts.agg(F.sum(F.col("n") * F.col("m"))).first()[0] or 0
+    counts = counts.where("line is not null").select("line.a", "line.b", "n")
     least = max(min_docs, -(-total // common))
     top = counts.where(F.col("n") >= least).toPandas()
     held = arrays(mphf.unsigned(top["a"]), mphf.unsigned(top["b"]), top["n"].to_numpy())
     sent = spark.sparkContext.broadcast(held)
+    if least == min_docs:
+        return sent, None, None
 
     def others(batches):
         known = Lines(*sent.value)
@@ -114,7 +116,7 @@ def repeated_lines(docs: DataFrame, min_docs: int, common: int = COMMON, shard:
     index = stored(counts.where(F.col("n") < least).withColumn("shard", to_shard).groupBy("shard").applyInPandas(_build, INDEX), "index")
     asked = lines.mapInArrow(others, lines.schema).withColumn("shard", to_shard)
     found = asked.groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(probe, "k1 bigint, k2 bigint, a bigint, b bigint")
-    copies = lines.where("first").groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"))
+    copies = docs.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"))
     texts = copies.where(F.col("n") >= least).select("k1", "k2", F.lit(True).alias("hot"))
     return sent, found.groupBy("k1", "k2").agg(F.collect_set(F.struct("a", "b")).alias("drop")), texts
 
@@ -129,11 +131,14 @@ def drop_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, text_col
     """
     base = packed(docs, text=text_of(text_col), k1=F.xxhash64(text_of(text_col)), k2=F.xxhash64(F.lit(1), text_of(text_col)))
     sent, verdicts, texts = repeated_lines(base, min_docs, common, shard)
-    # All lines of a text with that many copies are common, and there are at most `common` such texts: their
-    # rows need no verdict and are spread by number.
-    spread = base.join(F.broadcast(texts), ["k1", "k2"], "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    spread = spread.withColumn("k1", F.when(F.col("hot"), F.monotonically_increasing_id()).otherwise(F.col("k1")))
-    joined = spread.join(verdicts.withColumn("hot", F.lit(False)), ["k1", "k2", "hot"], "left").select("row", "text", "drop")
+    if verdicts is None:
+        joined = base.select("row", "text", F.lit(None).cast("array<struct<a:bigint,b:bigint>>").alias("drop"))
+    else:
+        # All lines of a text with that many copies are common, and there are at most `common` such texts: their
+        # rows need no verdict and are spread by number.
+        spread = base.join(F.broadcast(texts), ["k1", "k2"], "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+        spread = spread.withColumn("k1", F.when(F.col("hot"), F.monotonically_increasing_id()).otherwise(F.col("k1")))
+        joined = spread.join(verdicts.withColumn("hot", F.lit(False)), ["k1", "k2", "hot"], "left").select("row", "text", "drop")
     fields = [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()), T.StructField("kept", T.StringType())]
 
     def cut(batches):

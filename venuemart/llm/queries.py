@@ -99,8 +99,8 @@ r00 AS (SELECT lang, n_words, list_transform(classes, lambda x: floor(x / list_s
   FROM f2 WHERE n_words >= {rules.LEAST_WORDS} AND 100 * n_repeat_words <= 50 * n_words),
 r0 AS (SELECT lang, unnest(vs) AS v, generate_subscripts(vs, 1) AS i FROM r00),
 r1 AS (SELECT lang, i, sum(v) AS v FROM r0 GROUP BY lang, i),
-enough AS (SELECT lang FROM r00 GROUP BY lang HAVING sum(n_words) >= {rules.WORDS_FOR_REFERENCE}),
-r AS (SELECT r1.lang, list(v ORDER BY i) AS v FROM r1 JOIN enough ON r1.lang IS NOT DISTINCT FROM enough.lang GROUP BY r1.lang),
+pool AS (SELECT i, {rules.POOLED}::DOUBLE * sum(v)::DOUBLE / (SELECT count(*) FROM r00) AS rest FROM r1 GROUP BY i),
+r AS (SELECT lang, list(v::DOUBLE + rest ORDER BY i) AS v FROM r1 JOIN pool USING (i) GROUP BY lang),
 m AS (SELECT f2.*, list_transform(classes, lambda x: x / list_sum(classes)) AS p1, list_transform(common, lambda x: x / list_sum(common)) AS p2,
   list_transform(r.v[1:7], lambda x: x / list_sum(r.v[1:7])) AS q1, list_transform(r.v[8:], lambda x: x / list_sum(r.v[8:])) AS q2
   FROM f2 LEFT JOIN r ON f2.lang IS NOT DISTINCT FROM r.lang),

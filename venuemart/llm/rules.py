@@ -2,7 +2,8 @@
 
 A document's histograms of character classes and of common words are compared with those of its language by the
 Jensen-Shannon distance (0 to 1). The references are the means over all documents of the language that pass the
-base rules, long and short ones alike.
+base rules, long and short ones alike. Each is drawn towards the mean of all languages, as if the language had
+`POOLED` more documents like it: a language of few documents is judged by all, one of many by its own.
 """
 
 from __future__ import annotations
@@ -22,9 +23,10 @@ COMMON_WORDS = [
 
 #: A document shorter than this is rejected by the base rule, and no part of the references.
 LEAST_WORDS = 50
-#: A document needs so many words for its common words to be judged, a language so many for a reference.
+#: A document needs so many words for its common words to be judged.
 WORDS_FOR_COMMON = 100
-WORDS_FOR_REFERENCE = 10_000
+#: Documents like the mean of all languages that each language's reference counts besides its own.
+POOLED = 3
 #: Distances from which a document is rejected.
 CLASSES_APART = 0.25
 COMMON_APART = 0.27
@@ -75,7 +77,7 @@ def distance(mine: Column, other: Column) -> Column:
 
 
 def shares(column: str) -> Column:
-    total = F.aggregate(column, F.lit(0).cast("bigint"), lambda a, v: a + v)
+    total = F.aggregate(column, F.lit(0).cast("double"), lambda a, v: a + v)
     return F.when(total > 0, F.element_at(F.transform(F.array(total), lambda t: F.transform(column, lambda v: v / t)), 1))
 
 
@@ -87,16 +89,21 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     """Rows of docs as struct `row`, with the base counts, both distances, base_failed and kept.
 
     A document is kept unless a base rule or a distance rejects it. A distance is null, and rejects nothing, if
-    the document is shorter than its guard or the language's documents are too few words to be a reference.
-    Null text has no words and fails; documents of null language are a language. Repeated rows count in the
-    references as often as they occur. Other columns pass through whatever their names.
+    the document is shorter than its guard; there is no such guard for languages. Null text has no words and
+    fails; documents of null language are a language. Repeated rows count in the references as often as they
+    occur. Other columns pass through whatever their names.
     """
     held = stored(counted(docs, text_col, lang_col), "counts")
     n = {c: len(v) for c, v in (("classes", [0] * 7), ("common", [*COMMON_WORDS, ""]))}
     # Shares in whole millionths: their sums do not depend on the order of the rows.
     sums = [F.array(*[F.sum(F.get(f"{c}_in", F.lit(k))) for k in range(n[c])]).alias(f"{c}_of") for c in n]
     long = held.where(~base_failed()).withColumns({f"{c}_in": F.transform(shares(c), lambda v: F.floor(v * 1e6)) for c in n})
-    refs = long.groupBy(F.col("lang").alias("ref")).agg(F.sum("n_words").alias("ref_words"), *sums).where(F.col("ref_words") >= WORDS_FOR_REFERENCE)
+    refs = long.groupBy(F.col("lang").alias("ref")).agg(F.count(F.lit(1)).alias("docs"), *sums)
+    refs = stored(refs, "references")
+    pool = refs.agg(F.sum("docs").alias("docs"), *[F.array(*[F.sum(F.get(f"{c}_of", F.lit(k))) for k in range(n[c])]).alias(c) for c in n]).first()
+    # A document that passes the base rules has at least itself in the sums; without one nothing is compared.
+    mean = {c: F.array(*[F.lit(POOLED * (v or 0) / (pool.docs or 1)) for v in pool[c]]) for c in n}
+    refs = refs.select("ref", *[F.zip_with(f"{c}_of", mean[c], lambda own, rest: own + rest).alias(f"{c}_of") for c in n])
     met = held.join(refs, F.col("lang").eqNullSafe(F.col("ref")), "left")
     for c in n:
         met = met.withColumn(c, shares(c)).withColumn(f"{c}_of", shares(f"{c}_of"))
