@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from venuemart.catalog import query, scratch, table
 from venuemart.catalog import sqltext as sql
 from venuemart.catalog.texts import LEMMAS, labelled_texts, rounded
-from venuemart.ml import boosting, evaluate, features, train
+from venuemart.ml import boosting, evaluate, features, multinomial, train
 from venuemart.operators import ids
 from venuemart.plans import reviews
 
@@ -174,15 +174,38 @@ def text_features(spark: SparkSession, sf: str) -> DataFrame:
     return reviews.text_features(docs, "review", lemmas, scorer=features.model_scorer(model)).drop("review")
 
 
-@query(
-    "SELECT k AS n_components, c, true AS plausible FROM (VALUES (50), (100)) a(k), (VALUES (0.1::DOUBLE), (1.0::DOUBLE), (10.0::DOUBLE)) b(c)"
-)
+@query()
 def grid_search(spark: SparkSession, sf: str) -> DataFrame:
-    """Keys of the results table of a cross-validated search, and the bounds of its scores."""
+    """Results table of a cross-validated search: the scores of all component counts and penalties."""
     training, _, n = _split(spark, sf)
-    _, results = train.grid_search(training, "doc_id", n, n_components=[50, 100], cs=[0.1, 1.0, 10.0], folds=4, parallelism=4, max_iter=100)
-    fine = F.col("mean_score").between(0.3, 1) & (F.col("std_score") >= 0) & (F.col("fit_time") > 0)
-    return results.select("n_components", "c", fine.alias("plausible"))
+    _, results = train.grid_search(training, "doc_id", n, n_components=[100, 200, 300], cs=[0.1, 1.0, 10.0], folds=4)
+    return results.select("n_components", "c", "mean_score", "std_score")
+
+
+_FOLDS = 3
+
+
+@query(
+    f"WITH r AS (SELECT l_orderkey % {_FOLDS} AS own, (l_quantity > 25)::INT AS x, CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS class FROM lineitem) "
+    f"SELECT fold, x, class, round(count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY fold, x), 6) AS probability "
+    f"FROM r JOIN (SELECT unnest(range({_FOLDS})) AS fold) ON fold <> own GROUP BY fold, x, class"
+)
+def penalty_free_folds(spark: SparkSession, sf: str) -> DataFrame:
+    """One regression per left-out fold, fitted together; with one yes/no feature its probabilities are shares."""
+    x = (F.col("l_quantity") > 25).cast("int")
+    y = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
+    fold = F.explode(F.array_except(F.sequence(F.lit(0), F.lit(_FOLDS - 1)), F.array((F.col("l_orderkey") % _FOLDS).cast("int"))))
+    rows = table(spark, sf, "lineitem").select(fold.alias("set"), F.lit(False).alias("held"), x.alias("at"), F.array(x.cast("double")).alias("x"), y.alias("y"))
+    sets = multinomial.Sets(rows.drop("at"))
+    fits, _ = sets.fit([multinomial.Candidate(f, 1, 0.0) for f in range(_FOLDS)], tol=1e-10)
+    centres = {r.set: (r.m, r.s) for r in rows.groupBy("set").agg(F.avg("at").alias("m"), F.stddev("at").alias("s")).collect()}
+    out = []
+    for f, got in enumerate(fits):
+        for at in (0, 1):
+            scores = (at - centres[f][0]) / centres[f][1] * got.coefficients[0] + got.intercepts
+            shares = np.exp(scores) / np.exp(scores).sum()
+            out += [(f, at, k, round(float(v), 6)) for k, v in enumerate(shares)]
+    return spark.createDataFrame(out, "fold long, x int, class int, probability double")
 
 
 @query()
