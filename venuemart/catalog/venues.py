@@ -126,14 +126,14 @@ def name_geo_match(spark: SparkSession, sf: str) -> DataFrame:
     f"SELECT concat('https://venues.example.org/r/', c_custkey) AS url, '2022-09-10 10:00:00' AS dttm, "
     f"'detail.json' AS fname, {_TITLE} AS title, CAST(c_custkey % 6 AS INTEGER) AS rating, c_mktsegment AS cuisine, "
     f"c_name AS phone, 'Москва' AS city, concat('n', c_nationkey) AS address, {sql.rnd(sql.lon('c_custkey'), 6)} AS x_coord, "
-    f"{sql.rnd(sql.lat('c_custkey'), 6)} AS y_coord, '10-22' AS opening_hours, concat('ул. ', c_nationkey) AS street_address, "
+    f"{sql.rnd(sql.lat('c_custkey'), 6)} AS y_coord, c_acctbal::VARCHAR AS avg_check, '10-22' AS opening_hours, concat('ул. ', c_nationkey) AS street_address, "
     f"'Москва' AS street_locality, global_id FROM customer JOIN ({_MATCHED}) USING (c_custkey)"
 )
 def match_main(spark: SparkSession, sf: str) -> DataFrame:
     matched = listing.matched_listing(
         customer_listing(spark, sf), customer_details(spark, sf), suppliers(spark, sf), RADIUS
     )
-    main = listing.main_table(matched).drop("avg_check")
+    main = listing.main_table(matched)
     return main.withColumns({c: rounded(F.col(c), 6) for c in ("x_coord", "y_coord")})
 
 
@@ -218,13 +218,13 @@ def name_norm(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM (SELECT *, max(o_orderdate) OVER "
+    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate FROM (SELECT *, max(o_orderdate) OVER "
     "(PARTITION BY o_custkey) AS latest FROM orders) WHERE o_orderdate = latest AND o_orderpriority IN "
     "('1-URGENT', '2-HIGH', '5-LOW')"
 )
 def latest_version_filter(spark: SparkSession, sf: str) -> DataFrame:
     latest = register.latest_versions(table(spark, sf, "orders"), "o_custkey", "o_orderdate")
-    return latest.where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "5-LOW")).drop("o_orderdate")
+    return latest.where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "5-LOW")).withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query(
@@ -288,13 +288,15 @@ def record_flatten(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""WITH raw AS (SELECT s_suppkey // 2 AS global_id, CAST(s_suppkey % 2 AS INTEGER) AS Number, {_NAME} AS Name,
   CASE s_suppkey % 5 WHEN 0 THEN 'кафе' WHEN 1 THEN 'бар' WHEN 2 THEN 'ресторан' WHEN 3 THEN 'столовая' ELSE 'кафе' END AS TypeObject,
-  CASE WHEN s_nationkey % 4 > 0 THEN concat('c', s_nationkey % 4) END AS OperatingCompany, {_NORM} AS Name_norm FROM supplier),
+  CASE WHEN s_nationkey % 4 > 0 THEN concat('c', s_nationkey % 4) END AS OperatingCompany, {_NORM} AS Name_norm,
+  CASE WHEN s_suppkey % 3 > 0 THEN concat('(495) ', s_suppkey, ',(499) ', s_nationkey) END AS PublicPhone FROM supplier),
 kept AS (SELECT * FROM (SELECT *, max(Number) OVER (PARTITION BY global_id) AS m FROM raw) WHERE Number = m
   AND TypeObject IN ('кафе', 'бар', 'ресторан'))
 SELECT global_id, Number, Name, TypeObject, OperatingCompany, Name_norm,
   CASE WHEN OperatingCompany IS NOT NULL THEN count(Name) OVER (PARTITION BY OperatingCompany) END AS OperatingCompany_count,
   count(Name_norm) OVER (PARTITION BY Name_norm) AS Name_norm_count, 'улица' AS StreetType,
-  concat('номер ', global_id) AS StreetName FROM kept"""
+  concat('номер ', global_id) AS StreetName, concat('Москва, Улица номер ', global_id, ', дом ', Number + 3, ', строение 2') AS Address, PublicPhone,
+  'дом' AS HouseType, (Number + 3)::VARCHAR AS HouseName, 'строение' AS BuildingType, '2' AS BuildingName FROM kept"""
 )
 def register_mart(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("s_suppkey")
@@ -305,11 +307,8 @@ def register_mart(spark: SparkSession, sf: str) -> DataFrame:
         F.expr(_NAME).alias("Name"),
         F.element_at(F.array(*[F.lit(k) for k in kinds]), (key % 5 + 1).cast("int")).alias("TypeObject"),
         F.when(F.col("s_nationkey") % 4 > 0, F.concat(F.lit("c"), F.col("s_nationkey") % 4)).alias("OperatingCompany"),
-        F.concat(F.lit("Москва, Улица номер "), F.floor(key / 2)).alias("Address"),
-        F.array(F.lit("нет телефона")).alias("PublicPhone"),
-    )
-    mart = register.register_mart(raw)
-    return mart.select(
-        "global_id", "Number", "Name", "TypeObject", "OperatingCompany", "Name_norm", "OperatingCompany_count",
-        "Name_norm_count", "StreetType", "StreetName",
+        F.concat(F.lit("Москва, Улица номер "), F.floor(key / 2), F.lit(", дом "), key % 2 + 3, F.lit(", строение 2")).alias("Address"),
+        F.when(key % 3 > 0, F.array(F.concat(F.lit("(495) "), key), F.concat(F.lit("(499) "), "s_nationkey")))
+        .otherwise(F.array(F.lit("нет телефона"))).alias("PublicPhone"),
     )
+    return register.register_mart(raw).withColumn("PublicPhone", F.array_join("PublicPhone", ","))
