@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from venuemart.llm import components, exact_dedup, line_dedup, mphf, simhash
+from venuemart.operators import skew
 
 DOCS = "doc_id bigint, text string, row string, fp int, digest string, k1 int"
 
@@ -166,6 +167,31 @@ def test_links_join_what_is_near(spark, longest):
     assert [found.get(x, x) for x in signed] == want
 
 
+def test_the_tally_rejects_pairs_before_they_are_verified(spark):
+    # Bytes 0 to 3 in common, then as many of the others as named; all differences are of one bit.
+    apart = [[], [4], [4, 5], [4, 5, 6], [4, 5, 6, 7]]
+    fps = [0x0102030405060708 ^ sum(1 << (8 * p) for p in at) for at in apart]
+    key = 0x0102030405060708 & 0xFFFFFFFF
+    lists = spark.createDataFrame([(key, f) for f in fps], "key bigint, fp bigint")
+    shared = lambda x, y: sum((x ^ y) >> (8 * p) & 255 == 0 for p in range(8))
+    pairs = [(x, y) for x in fps for y in fps if x > y]
+    got = {(r.u, r.v) for r in simhash.tallied(lists, simhash.PAIRED).collect()}
+    assert got == {p for p in pairs if shared(*p) >= 6} and 0 < len(got) < len(pairs)
+    assert {(r.u, r.v) for r in simhash.verified(simhash.tallied(lists, simhash.PAIRED), 1).collect()} == {
+        (x, y) for x, y in got if (x ^ y).bit_count() <= 1
+    }
+
+
+def test_a_third_of_all_rows_in_one_text(spark, monkeypatch):
+    monkeypatch.setattr(skew.skew_join, "__defaults__", ("inner", None, 5, None))
+    texts = [(i, "a b c d" if i % 3 == 0 else f"w{i % 20} x{i} y z") for i in range(90)]
+    out = simhash.simhash_dedup(frame(spark, texts)).collect()
+    fps = [(i, brute_fingerprint(t)) for i, t in texts]
+    assert sorted((r.doc_id, r.fingerprint, r.component_id) for r in out) == sorted(
+        (i, f"{f:016x}", c) for (i, f), c in zip(fps, brute_components(fps))
+    )
+
+
 def test_components_of_a_chain(spark):
     pairs = [(i, i + 1) for i in range(100)] + [(200, 201), (300, 300)]
     out = {r.node: r.root for r in components.components(spark.createDataFrame(pairs, "u bigint, v bigint")).collect()}

@@ -11,8 +11,8 @@ them, the guaranteed minimum. The index is refined in levels, so that no list is
    that is at most one bit away. Such a list holds at most 17 fingerprints, all within two bits of each
    other, and its smallest member links to the rest; linked fingerprints meet in the list of a value between.
 
-In the lists of 1 and 2 the shared positional bytes of a pair are tallied, pairs that reach six are verified
-by the number of differing bits. Every linked pair is found, directly or, on level 3, through members that
+In the lists of 1 the members are posted under their other positional bytes too, and the bytes that a pair meets
+under are tallied. Pairs that reach six, as all in the lists of 2 do, are verified by the number of differing bits. Every linked pair is found, directly or, on level 3, through members that
 both are linked to; the number of postings is in proportion to the number of fingerprints.
 """
 
@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from venuemart.llm.common import packed, stored, text_of, with_fields
 from venuemart.llm.components import components
+from venuemart.operators.skew import skew_join
 
 BITS = 2
 SHARED = 8 - BITS
@@ -84,22 +85,33 @@ def postings(fps: DataFrame, choices: list[tuple[int, ...]]) -> DataFrame:
     return fps.select("fp", F.explode(F.array(*keys)).alias("key"))
 
 
-def shared_octets(x: Column) -> Column:
-    """Number of positional bytes that two fingerprints share, from the bits in which they differ."""
-    return reduce(lambda a, b: a + b, [F.shiftrightunsigned(x, 8 * p).bitwiseAND(F.lit(255)).eqNullSafe(0).cast("int") for p in range(8)])
+def tallied(lists: DataFrame, choices: list[tuple[int, ...]], least: int = SHARED) -> DataFrame:
+    """Pairs (u, v) of one list that share at least `least` positional bytes.
+
+    Members share the bytes of their list's key. If these are too few, they are posted under each of the other
+    positional bytes, and what a pair meets under is counted.
+    """
+    if all(len(c) >= least for c in choices):
+        found = lists.alias("l").join(lists.alias("r"), "key").where("l.fp > r.fp")
+        return found.select(F.col("l.fp").alias("u"), F.col("r.fp").alias("v")).distinct()
+    other = [[F.lit(p << 8).bitwiseOR(_octets(F.col("fp"), (p,))) for p in range(8) if p not in c] for c in choices]
+    choice = F.shiftrightunsigned("key", 56).cast("int")
+    posted = lists.select("key", "fp", F.explode(F.get(F.array(*[F.array(*x) for x in other]), choice)).alias("octet"))
+    met = posted.alias("l").join(posted.alias("r"), ["key", "octet"]).where("l.fp > r.fp")
+    met = met.groupBy("key", F.col("l.fp").alias("u"), F.col("r.fp").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    shared = F.get(F.array(*[F.lit(len(c)) for c in choices]), choice) + F.col("n")
+    return met.where(shared >= least).select("u", "v").distinct()
 
 
-def _paired(lists: DataFrame, bits: int) -> DataFrame:
-    x = F.col("l.fp").bitwiseXOR(F.col("r.fp"))
-    meet = (F.col("l.key") == F.col("r.key")) & (F.col("l.fp") > F.col("r.fp"))
-    found = lists.alias("l").join(lists.alias("r"), meet & (shared_octets(x) >= 8 - bits) & (F.bit_count(x) <= bits))
-    return found.select(F.col("l.fp").alias("u"), F.col("r.fp").alias("v"))
+def verified(pairs: DataFrame, bits: int = BITS) -> DataFrame:
+    """Pairs whose fingerprints differ in at most `bits` bits."""
+    return pairs.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= bits)
 
 
 def _split(posted: DataFrame, longest: int) -> tuple[DataFrame, DataFrame]:
     """Postings in lists of 2 to `longest` members, and the fingerprints in longer lists."""
     sizes = posted.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = stored(posted.join(sizes, "key"), "postings")
+    met = stored(skew_join(posted, sizes, ["key"], counts=sizes, place="fp"), "postings")
     return met.where(F.col("n") <= longest).select("key", "fp"), met.where(F.col("n") > longest).select("fp").distinct()
 
 
@@ -116,7 +128,7 @@ def links(fps: DataFrame, longest: int = LONGEST) -> DataFrame:
     posted = crowded6.select("fp", F.explode(F.array(*near)).alias("at"))
     stars = posted.groupBy("at").agg(F.collect_set("fp").alias("all")).where(F.size("all") > 1)
     stars = stars.select(F.explode("all").alias("u"), F.array_min("all").alias("v")).where("u != v")
-    return _paired(short, BITS).union(_paired(short6, BITS)).union(stars).distinct()
+    return verified(tallied(short, PAIRED).union(tallied(short6, SIX))).union(stars).distinct()
 
 
 def near_groups(held: DataFrame, longest: int = LONGEST) -> DataFrame:
@@ -142,7 +154,7 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     held = docs.select(F.col(id_col).cast("bigint").alias("id"), text_of(text_col).alias("text"))
     held = stored(with_fingerprints(held), "held")
-    out = held.join(near_groups(held, longest), "fp")
+    out = skew_join(held, near_groups(held, longest), ["fp"])
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
