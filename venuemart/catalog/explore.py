@@ -9,7 +9,7 @@ from venuemart.catalog import query, table
 from venuemart.catalog import sqltext as sql
 from venuemart.catalog.texts import rounded
 from venuemart.functions import text
-from venuemart.operators import explore, ids
+from venuemart.operators import explore, ids, sketches, whole
 
 
 @query(
@@ -230,3 +230,36 @@ def json_map_pivot(spark: SparkSession, sf: str) -> DataFrame:
 def json_text_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     stars = F.from_json("props", "map<string,int>")
     return table(spark, sf, "events").select("event_id", F.to_json(stars).alias("stars"))
+
+
+_PART = 4096
+
+
+@query(
+    "WITH r AS (SELECT role, text, conv_id, turn, coalesce(sum(length(text) + 1) OVER (PARTITION BY role ORDER BY conv_id, turn "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off FROM conversations WHERE text IS NOT NULL) "
+    f"SELECT role, off // {_PART} AS part, min(off) AS start, string_agg(text, '.' ORDER BY off) AS text FROM r GROUP BY ALL"
+)
+def whole_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """All that each role says, in order; a role is a third of the table, so its text comes in parts."""
+    place = F.struct("conv_id", "turn").alias("place")
+    rows = table(spark, sf, "conversations").select("role", place, "text")
+    return whole.text_parts(rows, "role", "place", "text", _PART)
+
+
+@query("SELECT l_returnflag, l_quantity, count(*) AS count FROM lineitem GROUP BY ALL")
+def frequent_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Sketches per year put together; with fewer values than are tracked their counts are exact."""
+    rows = table(spark, sf, "lineitem").withColumn("year", F.year("l_shipdate"))
+    per_year = sketches.value_sketches(rows, "l_quantity", ["l_returnflag", "year"], tracked=100)
+    return sketches.frequent_values(sketches.merged(per_year, ["l_returnflag"], tracked=100), "l_quantity", 60).drop("rows")
+
+
+@query(
+    "WITH v AS (SELECT c_nationkey, list_sort(list(c_acctbal::DOUBLE)) AS v FROM customer GROUP BY 1), b AS (SELECT unnest(range(4)) AS bin) "
+    "SELECT c_nationkey, bin::INT AS bin, v[greatest(1, ceil(len(v) * bin / 4)::INT)] AS low, v[ceil(len(v) * (bin + 1) / 4)::INT] AS high FROM v, b"
+)
+def equal_share_bins(spark: SparkSession, sf: str) -> DataFrame:
+    """Quarters of the balances of each nation's customers; a sketch is exact while it holds all values."""
+    held = sketches.quantile_sketches(table(spark, sf, "customer"), "c_acctbal", ["c_nationkey"], size=8000)
+    return sketches.equal_share_bins(held, 4)

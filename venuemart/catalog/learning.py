@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from venuemart.catalog import query, scratch, table
 from venuemart.catalog import sqltext as sql
 from venuemart.catalog.texts import LEMMAS, labelled_texts, rounded
-from venuemart.ml import boosting, evaluate, features, multinomial, train
+from venuemart.lexicons import SCORE_LABELS
+from venuemart.ml import boosting, evaluate, features, labels, multinomial, train
 from venuemart.operators import ids
 from venuemart.plans import reviews
 
@@ -237,3 +238,30 @@ def boosted_stumps(spark: SparkSession, sf: str) -> DataFrame:
     model = boosting.fit(rows, "x", "y", rounds=1, depth=1, edges=np.array(list(_EDGES.values())))
     found = [(c, f[1], model["edges"][f[1]][b[1]], round(leaf[0], 6), round(leaf[1], 6)) for c, (f, b, leaf) in enumerate(model["trees"][0])]
     return spark.createDataFrame(found, "class int, feature int, edge double, lower double, upper double")
+
+
+@query(
+    r"SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(1 + list_sum([1 + length(x) + length(x) - 1 + greatest(length(x) - 2, 0) FOR x IN w]) "
+    r"AS BIGINT) AS n_features FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents) WHERE len(w) > 0 "
+    r"UNION ALL SELECT doc_id, 0, 1 FROM documents WHERE len(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) = 0"
+)
+def label_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of every document, and its words and character n-grams with repeats."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    words = F.size(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))).cast("long").alias("n_words")
+    found = labels.featured(docs.select("doc_id", words, "text"), "text")
+    n = F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)
+    return found.select("doc_id", "n_words", n.alias("n_features"))
+
+
+@query()
+def five_label_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of all five labels for the texts left out of training: documents by their labels, and what is said in
+    conversations."""
+    kinds = F.array(*[F.lit(x) for x in ("skip", "negative", "positive", "neutral")])
+    named = table(spark, sf, "labels").select("doc_id", F.get(kinds, 2 * F.col("quality") + F.col("toxic")).alias("label"))
+    docs = table(spark, sf, "documents").join(named, "doc_id").select(F.concat(F.lit("document "), "doc_id").alias("id"), "label", "text")
+    said = table(spark, sf, "conversations").select(F.concat_ws(" ", F.lit("turn"), "conv_id", "turn").alias("id"), F.lit("speech").alias("label"), "text")
+    rows = docs.union(said).withColumn("fold", ids.seeded_fold(F.col("id"), 4, 17))
+    model = labels.fit(rows.where("fold > 0"), "text", "label", SCORE_LABELS)
+    return labels.scorer(model)(rows.where("fold = 0"), "text").select("id", "label", *SCORE_LABELS)
