@@ -1,16 +1,19 @@
 """The label scorer against a plain computation over all rows."""
 
+import os
 import random
 import re
 from zlib import crc32
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from venuemart.lexicons import SCORE_LABELS
 from venuemart.ml import labels
 from venuemart.plans import reviews
 
+SF = "/root/testdata/sf0.001"
 BUCKETS = 512
 WORDS = {"negative": "awful cold rude", "positive": "great warm tasty", "neutral": "table street menu", "skip": "qqq zzz 123", "speech": "hello thanks bye"}
 
@@ -80,3 +83,12 @@ def test_labels_of_nothing(spark):
     model = labels.fit(df, "review", "label", SCORE_LABELS, epochs=1, buckets=8, width=2)
     assert not model.logits.any()
     assert labels.scorer(model)(df, "review").collect() == []
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_languages_of_documents_held_out(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang", "text")
+    names = sorted(r.lang for r in docs.select("lang").distinct().collect() if r.lang)
+    model = labels.fit(docs.where("doc_id % 4 <> 0"), "text", "lang", names)
+    got = labels.scorer(model)(docs.where("doc_id % 4 = 0 AND length(text) > 200"), "text").collect()
+    assert sum(max(names, key=lambda x: r[x]) == r.lang for r in got) >= 0.9 * len(got) > 9

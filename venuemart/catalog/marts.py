@@ -11,6 +11,7 @@ from venuemart.catalog.texts import _POLARITY, rounded, scored_events
 from venuemart.functions.urls import cache_key, hash256
 from venuemart.plans import final, reviews
 from venuemart.sources import files, pages
+from venuemart.sources.known import KnownPages
 
 _MENTION_ROWS = f"""SELECT user_id AS global_id, 'dish' AS aspect, event_type AS value, event_id % 3 + 1 AS count,
   polarity + 1 AS x FROM ({_POLARITY})"""
@@ -244,6 +245,18 @@ def frontier(spark: SparkSession, sf: str) -> DataFrame:
     return pages.frontier(links, cache, limit=200, pos="page_id")
 
 
+@query("SELECT page_id, url AS link, concat('chunk_', sha256(url), '.json') AS key FROM pages WHERE url NOT IN "
+       "(SELECT url FROM pages WHERE page_id % 3 = 0 AND page_id % 2 <> 0 OR page_id % 5 = 0)")
+def kept_frontier(spark: SparkSession, sf: str) -> DataFrame:
+    """What two runs leave to be fetched: one got every third page, failing on half of them, one every fifth."""
+    links = table(spark, sf, "pages").select("page_id", F.col("url").alias("link"))
+    entry = [cache_key(F.col("url")).alias("key"), F.lit("2031-02-03 04:05:06").alias("dttm")]
+    state = KnownPages(spark, scratch(spark, "known"), buckets=16, capacity=100_000)
+    state.remember(table(spark, sf, "pages").where("page_id % 3 = 0").select(*entry, (F.col("page_id") % 2 != 0).alias("ok")))
+    state.remember(table(spark, sf, "pages").where("page_id % 5 = 0").select(*entry, F.lit(True).alias("ok")))
+    return state.frontier(links, pos="page_id")
+
+
 @query("SELECT page_id, url AS link, concat('chunk_', sha256(url), '.json') AS key FROM pages WHERE page_id % 3 = 0 AND page_id % 2 <> 0")
 def cached_pages(spark: SparkSession, sf: str) -> DataFrame:
     links = table(spark, sf, "pages").select("page_id", F.col("url").alias("link"))
