@@ -1,8 +1,11 @@
 """The kept frontier against the anti join with the whole cache."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from venuemart import schemas
 from venuemart.functions.urls import cache_key
+from venuemart.plans import jobs
 from venuemart.sources import known, pages
 
 
@@ -38,3 +41,16 @@ def test_full_filters_only_cost_lookups(spark, tmp_path):
     held.remember(entries(spark, range(300), True, "a"))
     links = spark.createDataFrame([(i, f"https://x.example.org/{i}") for i in range(290, 310)], "pos int, link string")
     assert sorted(r.pos for r in held.frontier(links).collect()) == list(range(300, 310))
+
+
+def test_frontier_job_with_kept_keys(spark, tmp_path):
+    listing, state = str(tmp_path / "listing"), str(tmp_path / "state")
+    rows = [(f"https://x.example.org/{i}", "f") for i in range(6)]
+    fields = T.StructType.fromDDL(schemas.LISTING).fields
+    data = spark.createDataFrame(rows, "link string, fname string")
+    data.select(*[F.col(f.name) if f.name in ("link", "fname") else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]).write.parquet(listing)
+    for run, (new, left) in enumerate([([0, 1], [2, 3, 4, 5]), ([4], [2, 3, 5])]):
+        cache, out = str(tmp_path / f"cache{run}"), str(tmp_path / f"out{run}")
+        entries(spark, new, True, "a").drop("url").write.parquet(cache)
+        jobs.page_frontier(spark, listing, cache, out, known=state)
+        assert sorted(r.link for r in spark.read.parquet(out).collect()) == [f"https://x.example.org/{i}" for i in left]

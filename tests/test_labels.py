@@ -8,10 +8,12 @@ from zlib import crc32
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from venuemart import schemas
 from venuemart.lexicons import SCORE_LABELS
 from venuemart.ml import labels
-from venuemart.plans import reviews
+from venuemart.plans import jobs, reviews
 
 SF = "/root/testdata/sf0.001"
 BUCKETS = 512
@@ -92,3 +94,14 @@ def test_languages_of_documents_held_out(spark):
     model = labels.fit(docs.where("doc_id % 4 <> 0"), "text", "lang", names)
     got = labels.scorer(model)(docs.where("doc_id % 4 = 0 AND length(text) > 200"), "text").collect()
     assert sum(max(names, key=lambda x: r[x]) == r.lang for r in got) >= 0.9 * len(got) > 9
+
+
+def test_label_model_job(spark, tmp_path):
+    paths = {k: str(tmp_path / k) for k in ("train", "model", "in", "out")}
+    spark.createDataFrame(texts(2), "review string, label string").write.parquet(paths["train"])
+    jobs.train_label_model(spark, paths["train"], paths["model"], epochs=1, batches=1, buckets=BUCKETS, width=2)
+    fields = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in T.StructType.fromDDL(schemas.SENTENCE).fields if f.name != "review"]
+    spark.sql(f"SELECT 'Great and warm' AS review, {', '.join(fields)}").write.parquet(paths["in"])
+    jobs.create_text_features(spark, paths["in"], paths["out"], label_model=paths["model"])
+    (row,) = spark.read.parquet(paths["out"]).collect()
+    assert abs(sum(row[x] for x in SCORE_LABELS) - 1) < 1e-9 and row.skip > 0

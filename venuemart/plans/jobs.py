@@ -9,10 +9,13 @@ from pyspark.sql import types as T
 from pyspark.sql.types import _parse_datatype_string
 
 from venuemart import schemas
+from venuemart.lexicons import SCORE_LABELS
+from venuemart.ml import labels
 from venuemart.ml.train import sentiment_pipeline
 from venuemart.operators.mentions import find_mentions
 from venuemart.plans import final, listing, register, reviews
 from venuemart.sources import files, pages
+from venuemart.sources.known import KnownPages
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -107,13 +110,18 @@ def listing_mart(
 
 def create_text_features(
     spark: SparkSession, input: str, output: str, col_text: str = "review", lemmas: str | None = None,
-    model: str | None = None,
+    model: str | None = None, label_model: str | None = None,
 ) -> None:
-    """`lemmas`: a table (token, lemma); `model`: a saved classifier used as label scorer."""
+    """`lemmas`: a table (token, lemma). Label scores come from a saved classifier (`model`) or from what
+    `train_label_model` saved (`label_model`)."""
     from venuemart.ml.features import model_scorer
 
+    if model and label_model:
+        raise ValueError("name one scorer, model or label_model")
     table = read_table(spark, lemmas, "token string, lemma string") if lemmas else None
     scorer = model_scorer(PipelineModel.load(model)) if model else None
+    if label_model:
+        scorer = labels.scorer(labels.LabelModel.load(spark, label_model))
     data = read_table(spark, input, schemas.SENTENCE)
     write_table(reviews.text_features(data, col_text, lemmas=table, scorer=scorer), output)
 
@@ -164,15 +172,34 @@ def train_sentiment_model(spark: SparkSession, input: str, output: str, **settin
     return model
 
 
+def train_label_model(spark: SparkSession, input: str, output: str, names: list[str] = SCORE_LABELS, **settings) -> labels.LabelModel:
+    """Learn the labels `names` from a table (review, label), as a scorer for `create_text_features`."""
+    model = labels.fit(read_table(spark, input, "review string, label string"), "review", "label", names, **settings)
+    model.save(spark, output)
+    return model
+
+
 def load_sentiment(spark: SparkSession, reviews_tsv: str, splits: list[str], output_reviews: str, output_splits: str):
     """Tab-separated labelled texts with a header, and header-less splits of another set, to tables."""
     write_table(files.read_csv(spark, reviews_tsv, schemas.SENTIMENT_RAW, sep="\t", multi_line=False), output_reviews)
     write_table(files.read_csv(spark, splits, schemas.SENTIMENT_RAW, sep="\t", header=False, multi_line=False), output_splits)
 
 
-def page_frontier(spark: SparkSession, input: str, cache: str, output: str, limit: int | None = None) -> None:
-    """Links of the listing table that are not in the page cache (key, ok) yet."""
+def page_frontier(
+    spark: SparkSession, input: str, cache: str, output: str, limit: int | None = None, known: str | None = None
+) -> None:
+    """Links of the listing table that are not in the page cache (key, ok, dttm) yet.
+
+    With `known`, a folder that keeps the keys between runs, `cache` needs to hold the entries since the last run only.
+    """
     links = read_table(spark, input, schemas.LISTING).select(
         "link", F.struct("fname", "link").alias("pos")
     )
-    write_table(pages.frontier(links, spark.read.parquet(cache), limit).select("link", "key"), output)
+    entries = spark.read.parquet(cache)
+    if known:
+        state = KnownPages(spark, known)
+        state.remember(entries)
+        left = state.frontier(links, limit)
+    else:
+        left = pages.frontier(links, entries, limit)
+    write_table(left.select("link", "key"), output)
