@@ -5,10 +5,13 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from venuemart import schemas
+from venuemart import catalog, schemas
+from venuemart.catalog import QUERIES, marts
 from venuemart.plans import final, jobs, register, reviews
 from venuemart.sources import files
 
+SF = "/root/testdata/sf0.001"
+
 
 def record(global_id, number, name, kind, address, phones=({"PublicPhone": "1"},), company="ООО"):
     return {"global_id": global_id, "Number": number, "Cells": {"Name": name, "TypeObject": kind, "Address": address, "OperatingCompany": company, "PublicPhone": list(phones), "geoData": {"coordinates": [37.6, 55.7]}}}
@@ -168,3 +171,32 @@ def test_sentiment_files(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "c")).orderBy("sentiment").collect()
     assert [(r.review, r.sentiment) for r in got] == [("два", -1), ("раз", 1)]
     assert spark.read.parquet(outs[0]).first().review == "Да"
+
+
+def test_large_inputs_are_dealt_to_several_files(spark, monkeypatch):
+    """Rows that one task would have to sort go to files by ranges of their key; the rows read are the same."""
+    monkeypatch.setattr(marts, "FILE_BYTES", 100_000)
+    writes = []
+    write = type(spark.range(1)).repartitionById
+    monkeypatch.setattr(type(spark.range(1)), "repartitionById", lambda df, n, *by: writes.append(n) or write(df, n, *by))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = {r.doc_id: r.text for r in QUERIES["json_array_in_ranges"](spark, SF).collect()}
+    assert got == {r.doc_id: r.text for r in docs.collect()}
+    numbers = spark.read.parquet(f"{SF}/lineitem.parquet").selectExpr("l_orderkey * 8 + l_linenumber AS value")
+    monkeypatch.setattr(marts, "FILE_BYTES", 10_000)
+    found = QUERIES["json_numbers_in_ranges"](spark, SF)
+    assert sorted(r.value for r in found.collect()) == sorted(r.value for r in numbers.collect())
+    read = QUERIES["csv_file_in_ranges"](spark, SF)
+    assert {r.doc_id: r.text for r in read.collect()} == got
+    assert len(writes) == 2 and min(writes) > 1
+
+
+def test_ranges_grow_with_the_files(spark, tmp_path, monkeypatch):
+    """Few ranges of a large folder, many of a small one."""
+    (tmp_path / "x.txt").write_text("line\n" * 400_000)
+    with catalog.small_ranges(spark, str(tmp_path)):
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "65536b"
+    monkeypatch.setattr(catalog, "MANY_RANGES", 4)
+    with catalog.small_ranges(spark, str(tmp_path)):
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "500000b"
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() == 4

@@ -13,6 +13,8 @@ from venuemart.session import use_checkpoints
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+#: Ranges that files are cut into by `small_ranges`, before the ranges grow.
+MANY_RANGES = 512
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -38,9 +40,15 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def small_ranges(spark: SparkSession, size: str = "64k") -> Iterator[None]:
-    """Files are cut into ranges of this size inside, so that small test tables make many. Read results there."""
-    keys = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "1k"}
+def small_ranges(spark: SparkSession, folder: str) -> Iterator[None]:
+    """The folder's files are cut into ranges of 64 KB inside, so that small test tables make many. Read results there.
+
+    Larger folders have larger ranges, up to Spark's usual size: a task per 64 KB would cost more than its work.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    stored = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    size = min(max(64 << 10, stored // MANY_RANGES), 128 << 20)
+    keys = {"spark.sql.files.maxPartitionBytes": f"{size}b", "spark.sql.files.openCostInBytes": "1k"}
     before = {k: spark.conf.get(k) for k in keys}
     for k, v in keys.items():
         spark.conf.set(k, v)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from venuemart.catalog import query, scratch, small_ranges, table
@@ -13,6 +13,9 @@ from venuemart.plans import final, reviews
 from venuemart.sources import files, pages
 from venuemart.sources.known import KnownPages
 
+# Text of a file that one task writes.
+FILE_BYTES = 32 << 20
+
 _MENTION_ROWS = f"""SELECT user_id AS global_id, 'dish' AS aspect, event_type AS value, event_id % 3 + 1 AS count,
   polarity + 1 AS x FROM ({_POLARITY})"""
 
@@ -333,13 +336,32 @@ def tsv_with_header(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_csv(spark, folder, "review string, sentiment string", sep="\t", multi_line=False)
 
 
+def _n_files(rows: DataFrame, width: Column) -> int:
+    """Files that take about FILE_BYTES each, if a row takes `width` bytes."""
+    return 1 + int(rows.agg(F.sum(width)).first()[0] or 0) // FILE_BYTES
+
+
+def _array_files(rows: DataFrame, key: str, value: Column, n: int) -> DataFrame:
+    """Lines of n files that each hold one JSON array: the values in the order of `key`, by ranges of it."""
+    cuts = rows.agg(F.percentile_approx(key, [k / n for k in range(1, n)], 10_000)).first()[0] if n > 1 else None
+    file = F.size(F.filter(F.array(*[F.lit(x) for x in sorted(set(cuts or []))]), lambda cut: cut <= F.col(key)))
+    lines = rows.select(F.col(key).alias("at"), value.alias("value"), file.alias("file"), F.lit(False).alias("last"))
+    ends = lines.where("value IS NOT NULL").select(F.lit(None).alias("at"), F.lit("]").alias("value"), "file", F.lit(True).alias("last"))
+    dealt = lines.union(ends.distinct()).repartitionById(n, "file").sortWithinPartitions("last", F.col("at").asc_nulls_last())
+    # A row's number in its file; keys may repeat, so they do not tell which row is the first.
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    mark = F.when(F.col("last"), "").when(number == 0, "[").otherwise(",")
+    return dealt.select(F.concat(mark, "value").alias("value"))
+
+
 @query("SELECT doc_id, text, lang, n_chars, len(regexp_extract_all(text, chr(10))) AS breaks FROM documents")
 def csv_file_in_ranges(spark: SparkSession, sf: str) -> DataFrame:
-    """All documents in one CSV file, line breaks and quotes in the text; read in ranges of 64 KB."""
+    """All documents in one CSV file (large tables: several), line breaks and quotes in the text; read in small ranges."""
     folder = scratch(spark, "csv")
     docs = table(spark, sf, "documents").select("doc_id", F.concat(F.lit('"'), "text", F.lit('",')).alias("text"), "lang", "n_chars")
-    files.write_csv(docs.coalesce(1), folder)
-    with small_ranges(spark):
+    n = _n_files(docs, F.octet_length("text"))
+    files.write_csv(docs.repartition(n) if n > 1 else docs.coalesce(1), folder)
+    with small_ranges(spark, folder):
         read = files.read_csv(spark, folder, docs.schema).checkpoint()
     text = F.expr("substring(text, 2, length(text) - 3)")
     return read.select("doc_id", text.alias("text"), "lang", "n_chars", F.size(F.regexp_extract_all(text, F.lit("\n"), F.lit(0))).cast("long").alias("breaks"))
@@ -347,28 +369,27 @@ def csv_file_in_ranges(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT doc_id, text, lang, list_transform(range(0, doc_id % 4), lambda i: concat('],[', i)) AS tags FROM documents")
 def json_array_in_ranges(spark: SparkSession, sf: str) -> DataFrame:
-    """All documents in one file that holds one JSON array, brackets and commas in its strings; read in ranges of 64 KB."""
+    """All documents in one file that holds one JSON array (large tables: several), brackets and commas in its strings;
+    read in small ranges."""
     folder = scratch(spark, "json")
     docs = table(spark, sf, "documents").select(
         "doc_id", "text", "lang", F.transform(F.sequence(F.lit(0), F.col("doc_id") % 4), lambda i: F.concat(F.lit("],["), i)).alias("tags")
     )
     docs = docs.withColumn("tags", F.slice("tags", 1, (F.col("doc_id") % 4).cast("int")))
-    # One line per element: the brackets stand on the first and the last line.
-    lines = docs.select(F.col("doc_id").alias("at"), F.concat(F.lit(","), F.to_json(F.struct(*docs.columns))).alias("value"))
-    last = docs.agg(F.max("doc_id") + 1).select(F.col("(max(doc_id) + 1)").alias("at"), F.lit("]").alias("value"))
-    opened = lines.withColumn("value", F.when(F.col("at") == 0, F.concat(F.lit("["), F.substring("value", 2, 1 << 30))).otherwise(F.col("value")))
-    opened.union(last).repartition(1).sortWithinPartitions("at").select("value").write.text(folder)
-    with small_ranges(spark):
+    # One line per element.
+    lines = _array_files(docs, "doc_id", F.to_json(F.struct(*docs.columns)), _n_files(docs, F.octet_length("text")))
+    lines.write.text(folder)
+    with small_ranges(spark, folder):
         return files.read_json_arrays(spark, folder, docs.schema, glob="part-*").checkpoint()
 
 
 @query("SELECT l_orderkey * 8 + l_linenumber AS value FROM lineitem")
 def json_numbers_in_ranges(spark: SparkSession, sf: str) -> DataFrame:
-    """A plain array of numbers on one line, read in ranges of 64 KB."""
+    """A plain array of numbers on one line (large tables: several files of one), read in small ranges."""
     folder = scratch(spark, "json")
     ids = table(spark, sf, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("v"))
-    first, last = ids.agg(F.min("v"), F.max("v")).first()
-    text = F.concat(F.when(F.col("v") == first, "[").otherwise(","), "v", F.when(F.col("v") == last, "]").otherwise(""))
-    ids.repartition(1).sortWithinPartitions("v").select(text.alias("value")).write.option("lineSep", " ").text(folder)
-    with small_ranges(spark):
+    number = F.col("v").cast("string")
+    lines = _array_files(ids, "v", number, _n_files(ids, F.octet_length(number) + 2))
+    lines.write.option("lineSep", " ").text(folder)
+    with small_ranges(spark, folder):
         return files.read_json_values(spark, folder, "long", True, glob="part-*").checkpoint()
