@@ -6,13 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from venuemart import catalog, schemas
-from venuemart.catalog import QUERIES, marts
+from venuemart.catalog import marts
 from venuemart.plans import final, jobs, register, reviews
 from venuemart.sources import files
 
-SF = "/root/testdata/sf0.001"
-
-
 def record(global_id, number, name, kind, address, phones=({"PublicPhone": "1"},), company="ООО"):
     return {"global_id": global_id, "Number": number, "Cells": {"Name": name, "TypeObject": kind, "Address": address, "OperatingCompany": company, "PublicPhone": list(phones), "geoData": {"coordinates": [37.6, 55.7]}}}
 
@@ -173,22 +170,22 @@ def test_sentiment_files(spark, tmp_path):
     assert spark.read.parquet(outs[0]).first().review == "Да"
 
 
-def test_large_inputs_are_dealt_to_several_files(spark, monkeypatch):
-    """Rows that one task would have to sort go to files by ranges of their key; the rows read are the same."""
-    monkeypatch.setattr(marts, "FILE_BYTES", 100_000)
-    writes = []
-    write = type(spark.range(1)).repartitionById
-    monkeypatch.setattr(type(spark.range(1)), "repartitionById", lambda df, n, *by: writes.append(n) or write(df, n, *by))
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    got = {r.doc_id: r.text for r in QUERIES["json_array_in_ranges"](spark, SF).collect()}
-    assert got == {r.doc_id: r.text for r in docs.collect()}
-    numbers = spark.read.parquet(f"{SF}/lineitem.parquet").selectExpr("l_orderkey * 8 + l_linenumber AS value")
-    monkeypatch.setattr(marts, "FILE_BYTES", 10_000)
-    found = QUERIES["json_numbers_in_ranges"](spark, SF)
-    assert sorted(r.value for r in found.collect()) == sorted(r.value for r in numbers.collect())
-    read = QUERIES["csv_file_in_ranges"](spark, SF)
-    assert {r.doc_id: r.text for r in read.collect()} == got
-    assert len(writes) == 2 and min(writes) > 1
+def test_large_inputs_are_dealt_to_several_files(spark, tmp_path, monkeypatch):
+    """Rows that one task would have to sort go to files by ranges of their key, which may repeat; the rows read are the same."""
+    texts = [(i // 2, f'line {i}\n"quoted", [x' * 20, "en", i) for i in range(200)]
+    spark.createDataFrame(texts, "doc_id long, text string, lang string, n_chars int").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(3000).selectExpr("id DIV 3 AS l_orderkey", "int(1) AS l_linenumber").write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(marts, "FILE_BYTES", 5_000)
+    files_of = []
+    frame = type(spark.range(1))
+    deal = frame.repartitionById
+    monkeypatch.setattr(frame, "repartitionById", lambda df, n, *by: files_of.append(n) or deal(df, n, *by))
+    want = sorted((r[0], r[1]) for r in texts)
+    for made in (marts.json_array_in_ranges, marts.csv_file_in_ranges):
+        assert sorted((r.doc_id, r.text) for r in made(spark, str(tmp_path)).collect()) == want
+    found = marts.json_numbers_in_ranges(spark, str(tmp_path)).collect()
+    assert sorted(r.value for r in found) == sorted(i // 3 * 8 + 1 for i in range(3000))
+    assert len(files_of) == 2 and min(files_of) > 1
 
 
 def test_ranges_grow_with_the_files(spark, tmp_path, monkeypatch):

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from venuemart import schemas
+from venuemart.catalog import pages as queries
 from venuemart.functions.urls import cache_key
 from venuemart.plans import listing
 from venuemart.sources import files, pages
@@ -134,3 +135,24 @@ def test_frontier(spark):
     assert sorted(r.pos for r in pages.frontier(links, cache).collect()) == [1, 3, 4, 5]
     assert sorted(r.pos for r in pages.frontier(links, cache, limit=4).collect()) == [1, 3]
     assert sorted(r.pos for r in pages.cached(links, cache).collect()) == [0, 2]
+
+
+def test_pages_are_parsed_in_slices(spark, monkeypatch):
+    """A task holds the texts and fields of few pages at once, however large the batch is."""
+    monkeypatch.setattr(pages, "SLICE", 3)
+    df = spark.createDataFrame([(f"u{i}", f"<h1>{i}</h1>") for i in range(10)], "url string, html string").coalesce(1)
+    sizes = []
+    frame = type(df)
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, run, schema: sizes.extend(b.num_rows for b in run([df.toArrow().combine_chunks().to_batches()[0]])) or self)
+    pages.extract_pages(df, lambda root: {"h": root.find("h1").text}, "h string")
+    assert sizes == [3, 3, 3, 1]
+
+
+def test_small_tables_of_costly_rows_are_spread(spark, tmp_path):
+    """Cards and venue pages are parsed by all cores, also if the table is one file."""
+    rows = [(i, f"name {i}", i % 25, "BUILDING", 1.5 * i) for i in range(40)]
+    df = spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int, c_mktsegment string, c_acctbal double")
+    df.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    for made in (queries.card_fields, queries.detail_fields):
+        assert made(spark, str(tmp_path)).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert sorted(r.title for r in queries.card_fields(spark, str(tmp_path)).collect()) == sorted(r[1] for r in rows)

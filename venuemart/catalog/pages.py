@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuemart.catalog import query, table
+from venuemart.catalog import query, spread, table
 from venuemart.catalog import sqltext as sql
 from venuemart.catalog.venues import lat, lon
 from venuemart.functions import urls
@@ -92,7 +92,7 @@ def _card_html():
 
 
 def _cards(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "customer").withColumn("link", F.concat(F.lit("/r/"), "c_custkey"))
+    rows = spread(table(spark, sf, "customer")).withColumn("link", F.concat(F.lit("/r/"), "c_custkey"))
     return rows.select("c_custkey", F.concat(F.lit("p/"), F.floor(F.col("c_custkey") / 10)).alias("url"), _card_html().alias("card"))
 
 
@@ -116,7 +116,7 @@ def listing_table(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit('<ul class="l-restaurants clearfix">'), html, F.lit("</ul>")).alias("html")
     )
     # Small pages, costly to parse: spread over all cores rather than by size.
-    cut = pages.listing_pages(saved.repartition(spark.sparkContext.defaultParallelism, "url"), strict=True)
+    cut = pages.listing_pages(saved.repartition(4 * spark.sparkContext.defaultParallelism, "url"), strict=True)
     envelope = cut.select(
         (F.col("page") % 7 > 0).alias("ok"), "url", F.lit("2031-02-03 04:05:06").alias("dttm"),
         F.concat(F.lit("chunk_"), "page", F.lit(".json")).alias("fname"), F.struct("cards").alias("data"),
@@ -167,7 +167,7 @@ def detail_fields(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("<!DOCTYPE html><html><body>"), F.when(key % 4 > 0, place).otherwise(F.lit("")), data,
         F.when(key % 5 > 0, stats).otherwise(F.lit("")), F.when(key % 2 > 0, review).otherwise(F.lit("")), F.lit("</body></html>"),
     )
-    saved = table(spark, sf, "customer").select("c_custkey", F.concat(F.lit("d/"), "c_custkey").alias("url"), html.alias("html"))
+    saved = spread(table(spark, sf, "customer")).select("c_custkey", F.concat(F.lit("d/"), "c_custkey").alias("url"), html.alias("html"))
     parsed = pages.detail_pages(saved, strict=True)
     fields = [f for f in parsed.columns if f not in ("c_custkey", "url", "error")]
     envelope = parsed.select(

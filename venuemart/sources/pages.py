@@ -16,6 +16,8 @@ from venuemart.functions.urls import base_url, cache_key, hash256, resolve_link,
 from venuemart.sources.html import Node, parse_html
 
 STAR = "i-star orange"
+#: Pages whose texts and fields a task holds at once, besides the batch they come in.
+SLICE = 128
 # Fixed value: the map call that holds a venue's latitude and longitude.
 PLACEMARK = re.compile(r"Placemark\(\[(\d+\.\d+),\ (\d+.\d+)\]")
 
@@ -47,7 +49,8 @@ def extract_pages(
             return {"error": message}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for whole, at in ((b, k) for b in batches for k in range(0, b.num_rows, SLICE)):
+            batch = whole.slice(at, SLICE)
             rows = [parse_one(u, p) for u, p in zip(batch[url].to_pylist(), batch[html].to_pylist())]
             parsed = [pa.array([row.get(f) for row in rows], kind) for f, kind in kinds.items()]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), *parsed], names=[*kept, *kinds])
