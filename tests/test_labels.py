@@ -105,3 +105,21 @@ def test_label_model_job(spark, tmp_path):
     jobs.create_text_features(spark, paths["in"], paths["out"], label_model=paths["model"])
     (row,) = spark.read.parquet(paths["out"]).collect()
     assert abs(sum(row[x] for x in SCORE_LABELS) - 1) < 1e-9 and row.skip > 0
+
+
+def test_features_of_rare_words_are_found_together(monkeypatch):
+    """One call per different word, whatever its n-grams; counts as of the plain computation, in groups of texts too."""
+    rows = [*[t for t, _ in texts(3)], "ab a ß 日本語 x" * 9, "İstanbul 𝒳𝒴𝒵 " * 20, *[f"rare{i}" for i in range(300)]]
+    different = {w for t in rows for w in re.findall(r"\w+", (t or "").lower())}
+    for letters in (1 << 20, 40):
+        monkeypatch.setattr(labels, "LETTERS", letters)
+        for row, (ids, counts) in zip(rows, labels.features_of(rows, BUCKETS), strict=True):
+            dense = np.zeros(BUCKETS)
+            dense[ids] = counts
+            assert np.allclose(dense / dense.sum(), brute_row(row)) and (np.diff(ids) > 0).all()
+    assert [len(ids) for ids, _ in labels.features_of([None, "", " ."], BUCKETS)] == [1, 1, 1]
+    called = []
+    monkeypatch.setattr(labels, "LETTERS", 1 << 20)
+    monkeypatch.setattr(labels, "crc32", lambda x: called.append(x) or crc32(x))
+    list(labels.features_of(rows, BUCKETS))
+    assert len(called) <= len(different) + 1

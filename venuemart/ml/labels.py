@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -27,35 +27,76 @@ from venuemart.session import use_checkpoints
 GRAMS = (3, 4, 5)
 #: Places that words and n-grams are hashed to, and length of their vectors.
 BUCKETS, WIDTH = 1 << 15, 16
-#: Words whose features a worker remembers, and texts whose features it holds at once.
-REMEMBERED, SLICE = 50_000, 512
+#: Texts whose features a task holds at once: so many, or fewer of so many characters together.
+SLICE, LETTERS = 512, 1 << 20
 
 words_of = re.compile(r"\w+").findall
-
-
-class Features:
-    """Features of texts as numbers below `buckets`; those of frequent words are remembered."""
-
-    def __init__(self, buckets: int):
-        self.buckets, self.held = buckets, {}
-
-    def of_word(self, word: str) -> list[int]:
-        found = self.held.get(word)
-        if found is None:
-            marked = f"<{word}>"
-            names = [f" {word}", *(marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1))]
-            found = [crc32(x.encode()) % self.buckets for x in names]
-            if len(self.held) >= REMEMBERED:
-                self.held.clear()
-            self.held[word] = found
-        return found
-
-    def of_text(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """The different features, ascending, and how often each occurs."""
-        out = [crc32(b" ") % self.buckets]
-        for word in words_of((text or "").lower()):
-            out += self.of_word(word)
-        return np.unique(np.array(out, np.int64), return_counts=True)
+# CRC-32 of a byte after each remainder, as `zlib.crc32` computes it.
+_TABLE = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    _TABLE = np.where(_TABLE & 1, (_TABLE >> 1) ^ np.uint32(0xEDB88320), _TABLE >> 1)
+
+
+def _grams(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each length of `GRAMS`: word, place in it, and CRC-32 of all n-grams of the marked words, in order."""
+    data = np.frombuffer("".join([f"<{w}>" for w in words]).encode(), np.uint8)
+    heads = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    lengths = np.array([len(w) + 2 for w in words])
+    ends = np.cumsum(lengths)
+    word, state, place = np.repeat(np.arange(len(words)), lengths), np.full(len(heads) - 1, 0xFFFFFFFF, np.uint32), np.arange(len(heads) - 1)
+    for n in range(1, max(GRAMS) + 1):
+        long_enough = place + n <= ends[word]
+        word, state, place = word[long_enough], state[long_enough], place[long_enough]
+        at, sizes = heads[place + n - 1], np.diff(heads)[place + n - 1]
+        for byte in range(int(sizes.max(initial=0))):
+            own = slice(None) if byte == 0 else np.flatnonzero(sizes > byte)
+            state[own] = _TABLE[(state[own] ^ data[at[own] + byte]) & 0xFF] ^ (state[own] >> 8)
+        if n in GRAMS:
+            yield word, place - (ends - lengths)[word], state ^ np.uint32(0xFFFFFFFF)
+
+
+def _of_words(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Features of the words one after the other, and where each word's begin."""
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(1, np.int64)
+    found = list(_grams(words))
+    starts = np.cumsum([np.zeros(len(words), np.int64), np.ones(len(words), np.int64), *[np.bincount(w, minlength=len(words)) for w, _, _ in found]], axis=0)
+    firsts = np.append(0, np.cumsum(starts[-1]))
+    out = np.empty(firsts[-1], np.int64)
+    out[firsts[:-1]] = [crc32(f" {w}".encode()) % buckets for w in words]
+    for k, (word, place, code) in enumerate(found):
+        out[firsts[word] + starts[k + 1][word] + place] = code % buckets
+    return out, firsts
+
+
+def _counted(ids: np.ndarray, counts: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    if 16 * len(ids) < buckets:
+        met, at = np.unique(ids, return_inverse=True)
+        return met, np.bincount(at, counts).astype(np.int64)
+    sums = np.bincount(ids, counts, buckets)
+    met = np.flatnonzero(sums)
+    return met, sums[met].astype(np.int64)
+
+
+def features_of(texts: list[str | None], buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The different features of each text, numbers below `buckets`, ascending, and how often each occurs.
+
+    Different words of some texts are looked at once, all together.
+    """
+    at, every = 0, np.array([crc32(b" ") % buckets])
+    while at < len(texts):
+        index: dict[str, int] = {}
+        own, letters = [], 0
+        while at < len(texts) and (not own or letters + len(texts[at] or "") <= LETTERS):
+            own.append(np.array([index.setdefault(w, len(index)) for w in words_of((texts[at] or "").lower())], np.int64))
+            letters, at = letters + len(texts[at] or ""), at + 1
+        features, firsts = _of_words(list(index), buckets)
+        for numbers in own:
+            met, times = np.unique(numbers, return_counts=True)
+            sizes = firsts[met + 1] - firsts[met]
+            ends = np.cumsum(sizes)
+            ids = features[np.repeat(firsts[met] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+            yield _counted(np.append(ids, every), np.append(np.repeat(times, sizes), 1), buckets)
 
 
 def featured(df: DataFrame, text: str, buckets: int = BUCKETS) -> DataFrame:
@@ -66,11 +107,10 @@ def featured(df: DataFrame, text: str, buckets: int = BUCKETS) -> DataFrame:
     kept = [f for f in df.schema.fields if f.name != text]
 
     def run(batches):
-        features = Features(buckets)
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):
                 batch = whole.slice(at, SLICE)
-                found = [features.of_text(t) for t in batch.column(text).to_pylist()]
+                found = list(features_of(batch.column(text).to_pylist(), buckets))
                 made = [pa.array([x[k] for x in found], pa.list_(pa.int32())) for k in (0, 1)]
                 names = [*[f.name for f in kept], "ids", "counts"]
                 yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], *made], names)
@@ -201,10 +241,8 @@ def scorer(model: LabelModel) -> Callable[[DataFrame, str], DataFrame]:
         @F.pandas_udf("array<double>")
         def probabilities(texts: pd.Series) -> pd.Series:
             logits = sent.value
-            features = Features(logits.shape[1])
             out = []
-            for t in texts:
-                ids, counts = features.of_text(t)
+            for ids, counts in features_of(list(texts), logits.shape[1]):
                 out.append(softmax((logits[:, ids] @ (counts / counts.sum()))[None])[0])
             return pd.Series(out)
 
