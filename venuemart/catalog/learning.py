@@ -8,7 +8,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuemart.catalog import query, scratch, table
+from venuemart.catalog import query, scratch, spread, table
 from venuemart.catalog import sqltext as sql
 from venuemart.catalog.texts import LEMMAS, labelled_texts, rounded
 from venuemart.lexicons import SCORE_LABELS
@@ -28,7 +28,10 @@ w AS (SELECT doc_id, term, tf, tf * (ln((1.0::DOUBLE + n) / (1.0::DOUBLE + df))
 SELECT doc_id, term, tf, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 8) AS weight FROM w"""
 )
 def tfidf_weights(spark: SparkSession, sf: str) -> DataFrame:
-    weights = features.tfidf_weights(table(spark, sf, "documents"), "doc_id", "text")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    # A document's terms stay in its task: a table of one or few files is dealt out first.
+    few = docs.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
+    weights = features.tfidf_weights(spread(docs) if few else docs, "doc_id", "text")
     return weights.withColumn("weight", F.round("weight", 8))
 
 
