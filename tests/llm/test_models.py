@@ -6,10 +6,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from venuemart.llm import quality, queries, rules, toxicity
+from venuemart.llm import common, quality, queries, rules, toxicity
 
 SF = "/root/testdata/sf0.01"
 ODD = [(900, None), (901, ""), (902, "word " * 100_000), (903, "\n\n"), (None, "plain words here"), (1, "twice"), (1, "twice")]
@@ -115,6 +116,47 @@ def test_quality(spark):
     assert quality.score(docs.limit(0), model).collect() == []
 
 
+def test_quality_gets_texts_in_small_batches(spark):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(setting)
+    try:
+        docs = spark.range(0, 300, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab cd "), 20_000).alias("text"))
+        out = quality.score(docs, quality.Model(np.zeros(quality.BUCKETS), np.zeros(1), [0.0, 1.0]))
+        assert out.select("row.doc_id").distinct().count() == 300
+
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]})
+
+        found = common.packed(docs, text=F.col("text")).mapInArrow(sizes, "bytes bigint").agg(F.max("bytes"), F.sum("bytes")).first()
+        assert found[0] < 2 * common.BATCH_BYTES and found[1] > 2 * 300 * 120_000
+        spark.conf.set(setting, "1m")
+        quality.score(docs, quality.Model(np.zeros(quality.BUCKETS), np.zeros(0), [0.0]))
+        assert spark.conf.get(setting) == "1m"
+    finally:
+        spark.conf.unset(setting)
+
+
+def test_quality_works_on_few_texts_at_once():
+    n = common.AT_ONCE + 44
+    texts = [f"Word{k} again, again 12-{k}" for k in range(n - 1)] + [""]
+    batch = pa.RecordBatch.from_pydict({"id": range(n), "text": texts, "grade": [1.0] * n})
+    out = list(quality._features([batch]))
+    assert [b.num_rows for b in out] == [common.AT_ONCE, 44]
+    rows = [row for b in out for row in b.to_pylist()]
+    for text, row in zip(texts, rows, strict=True):
+        want = np.zeros(quality.BUCKETS)
+        words = text.split()
+        for w in words:
+            for kind, value in (("word", w.lower()), ("shape", quality.shape(w)), ("end", w[-3:])):
+                want[quality._bucket(kind, value)] += 1
+        want = np.sqrt(want / max(len(words), 1))
+        want[quality._bucket("repeats", str(int(10 * (1 - len(set(words)) / max(len(words), 1)))))] += 1
+        want[quality._bucket("size", str(len(words).bit_length()))] += 1
+        assert row["at"] == np.flatnonzero(want).tolist()
+        assert row["x"] == pytest.approx(want[row["at"]], rel=1e-6)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 def test_quality_of_held_out_documents(spark):
     scored = queries.QUERIES["op5_quality_classifier"](spark, SF).where("held_out")

@@ -18,11 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from venuemart.llm.common import packed, text_of, with_fields
+from venuemart.llm.common import packed, slices, text_of, with_fields
 
 MARK = "▁"
-#: Texts that a task works on at once; their ids leave before the next ones come.
-AT_ONCE = 256
 #: Characters of the segments that are searched many at a time; longer ones are searched one by one.
 SHORT = 24
 UNKNOWN_COST = 10.0
@@ -302,12 +300,6 @@ class Vocabulary:
         return text[1:] if text.startswith(" ") else text
 
 
-def slices(batches):
-    for batch in batches:
-        for start in range(0, batch.num_rows, AT_ONCE):
-            yield batch.slice(start, AT_ONCE)
-
-
 def _lists(rows: list[list[int]]) -> pa.Array:
     ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
     flat = np.fromiter(chain.from_iterable(rows), np.int32, int(ends[-1]))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from venuemart.llm.common import bounded, packed, stored, text_of, with_fields
+from venuemart.llm.common import bounded, packed, slices, small_batches, stored, text_of, with_fields
 
 #: Rated rows to learn from at most, chosen by the hash of their id.
 SAMPLE = 10_000
@@ -44,13 +45,14 @@ class Hasher:
     """Turns texts into hashed features: the square root of each bucket's share of the words."""
 
     def __init__(self):
-        self.rows, self.buckets = {}, []
+        # Three buckets for each word, side by side: tuples of numbers would take ten times the memory.
+        self.rows, self.buckets = {}, array("H")
 
     def _row(self, word: str) -> int:
         at = self.rows.get(word)
         if at is None:
-            at = self.rows[word] = len(self.buckets)
-            self.buckets.append((_bucket("word", word.lower()), _bucket("shape", shape(word)), _bucket("end", word[-3:])))
+            at = self.rows[word] = len(self.rows)
+            self.buckets.extend((_bucket("word", word.lower()), _bucket("shape", shape(word)), _bucket("end", word[-3:])))
         return at
 
     def __call__(self, text: str) -> np.ndarray:
@@ -62,7 +64,7 @@ class Hasher:
         if n:
             rows = [self._row(w) for w in words]
             counts = np.fromiter(words.values(), float, len(words))
-            at = np.array([self.buckets[r] for r in rows])
+            at = np.frombuffer(self.buckets, np.uint16).reshape(-1, 3)[rows]
             for k in range(at.shape[1]):
                 out += np.bincount(at[:, k], counts, BUCKETS)
         out = np.sqrt(out / max(n, 1))
@@ -123,7 +125,7 @@ def fit_ordinal(sizes: np.ndarray, at: np.ndarray, x: np.ndarray, grades: np.nda
 
 def _features(batches):
     hasher = Hasher()
-    for batch in batches:
+    for batch in slices(batches):
         at, values = [], []
         for text in batch.column("text").to_pylist():
             x = hasher(text)
@@ -140,6 +142,7 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: s
     of several ratings of an id the lowest counts. With one grade every text has it; without ratings nothing is
     known, the expected grade is null and every text passes.
     """
+    small_batches(docs.sparkSession)
     known = ratings.select(F.col(id_col).cast("bigint").alias("id"), F.col(grade_col).cast("double").alias("grade"))
     known = known.dropna().groupBy("id").agg(F.min("grade").alias("grade"))
     known = bounded(stored(known, "ratings"), "id", sample)
@@ -157,13 +160,14 @@ def score(docs: DataFrame, model: Model, least: float | None = None, text_col: s
 
     `least` is the highest grade by default. Null text counts as empty, which is scored like any text.
     """
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     base = packed(docs, text=text_of(text_col))
 
     def run(batches):
         model, hasher = sent.value, Hasher()
         goal = sum(g < (model.grades[-1] if least is None else least) for g in model.grades)
-        for batch in batches:
+        for batch in slices(batches):
             s = np.array([hasher(t) @ model.weights for t in batch.column("text").to_pylist()], float)
             reach = np.concatenate([np.ones((len(s), 1)), model.reach(s), np.zeros((len(s), 1))], axis=1)
             if not model.grades:
