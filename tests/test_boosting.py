@@ -115,3 +115,24 @@ def test_estimator_learns_saves_and_keeps_columns(spark, tmp_path):
     first = {r.id: r.probability for r in model.transform(df).collect()}
     assert all(first[r.id] == r.probability for r in out.collect())
     assert out.limit(0).agg(F.count("*")).first()[0] == 0
+
+
+def test_few_rows_are_dealt_to_many_tasks_with_the_same_model(spark, monkeypatch):
+    rnd = np.random.default_rng(8)
+    rows = [(rnd.normal(size=3).tolist(), int(i % 3)) for i in range(90)]
+    df = spark.createDataFrame(rows, "x array<double>, y int").coalesce(1)
+    parts, held = [], boosting.Rows.__init__
+    monkeypatch.setattr(boosting.Rows, "__init__", lambda self, blocks, *a: (held(self, blocks, *a), parts.append(self.parts))[0])
+    whole = boosting.fit(df, "x", "y", rounds=2, depth=2)
+    monkeypatch.setattr(boosting, "FEW_ROWS", 20)
+    assert boosting.fit(df, "x", "y", rounds=2, depth=2) == whole and parts == [1, 4]
+
+
+def test_histograms_of_several_weights():
+    rnd = np.random.default_rng(9)
+    bins, node, weights = rnd.integers(0, 4, (3, 50)).astype(np.uint8), rnd.integers(2, 6, 50), rnd.integers(-9, 9, (2, 50)).astype(float)
+    want = np.zeros((2, 2, 3, 4), np.int64)
+    for i in np.flatnonzero(node < 4):
+        for f in range(3):
+            want[:, node[i] - 2, f, bins[f, i]] += weights[:, i].astype(int)
+    assert (boosting.histograms(bins, node, tuple(weights), 2, 2, 4) == want).all()

@@ -28,8 +28,9 @@ from venuemart.session import use_checkpoints
 
 #: One gradient unit in whole numbers; sums over a block of rows stay exact in doubles, sums over 2^26 rows in longs.
 UNIT = float(1 << 36)
-#: Rows of a block, and partial sums that one task or the driver adds up.
-BLOCK, FAN = 1 << 15, 32
+#: Rows of a block; those of a task as long as there are fewer tasks than cores; partial sums that one task or the
+#: driver adds up.
+BLOCK, FEW_ROWS, FAN = 1 << 15, 1 << 10, 32
 #: Rounds after which the scores of all rows are stored again; in between tasks apply the rounds since then.
 STORED_EVERY = 10
 
@@ -65,13 +66,21 @@ def whole_gradients(scores: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray,
     return np.rint(g * UNIT), np.rint(np.maximum(p * (1.0 - p), 1e-16) * UNIT)
 
 
-def histograms(bins: np.ndarray, node: np.ndarray, weights: np.ndarray, first: int, nodes: int, n_bins: int) -> np.ndarray:
-    """Sums of weights by node (from number `first`), feature and bin."""
-    d = bins.shape[1]
+def histograms(bins: np.ndarray, node: np.ndarray, weights: tuple[np.ndarray, ...], first: int, nodes: int, n_bins: int) -> np.ndarray:
+    """Sums of each of the weights by node (from number `first`), feature and bin; `bins` has a row per feature.
+
+    Feature by feature, so that a sum's numbers stay in the processor's cache and no weight is repeated.
+    """
     held = (node >= first) & (node < first + nodes)
-    cell = ((node[held, None] - first) * d + np.arange(d)) * n_bins + bins[held]
-    sums = np.bincount(cell.ravel(), np.repeat(weights[held], d), nodes * d * n_bins)
-    return np.rint(sums).astype(np.int64).reshape(nodes, d, n_bins)
+    if not held.all():
+        bins, node, weights = bins[:, held], node[held], tuple(w[held] for w in weights)
+    at = (node - first) * n_bins
+    out = np.empty((len(weights), nodes, len(bins), n_bins), np.int64)
+    for f, own in enumerate(bins):
+        cell = at + own
+        for k, w in enumerate(weights):
+            out[k, :, f] = np.rint(np.bincount(cell, w, nodes * n_bins)).reshape(nodes, n_bins)
+    return out
 
 
 def best_splits(g: np.ndarray, h: np.ndarray, ridge: float, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -137,7 +146,7 @@ class Rows:
             while parts > FAN:
                 parts = -(-parts // FAN)
                 sums = sums.repartition(parts).mapInArrow(again, "sums binary")
-            return sum((np.frombuffer(r.sums, np.int64) for r in sums.collect()), np.zeros(size, np.int64))
+            return sum((np.frombuffer(x.as_buffer(), np.int64) for x in sums.toArrow().column(0)), np.zeros(size, np.int64))
         finally:
             self.blocks = blocks
 
@@ -193,7 +202,8 @@ def fit(df: DataFrame, features: str, label: str, rounds: int = 200, depth: int
                 yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in cells], ["bins", "labels", "scores"])
 
     use_checkpoints(df.sparkSession)
-    packed = data.coalesce(max(1, n // BLOCK)).mapInArrow(pack, "bins binary, labels binary, scores binary").checkpoint()
+    tasks = max(1, min(df.sparkSession.sparkContext.defaultParallelism, n // FEW_ROWS), n // BLOCK)
+    packed = (data.repartition(tasks) if data.rdd.getNumPartitions() < tasks else data.coalesce(tasks)).mapInArrow(pack, "bins binary, labels binary, scores binary").checkpoint()
     rows, trees = Rows(packed, size, classes), []
     for done in range(rounds):
         grown = _grow(rows, classes, size, n_bins, depth, rate, ridge, least)
@@ -214,13 +224,12 @@ def _grow(rows, classes: int, size: int, n_bins: int, depth: int, rate: float, r
 
         def part(bins, labels, scores, first=first, nodes=nodes, level=level, shape=shape):
             g, h = whole_gradients(scores, labels)
-            out = np.zeros(shape, np.int64)
+            out, by_feature = np.zeros(shape, np.int64), np.ascontiguousarray(bins.T)
             for c in range(classes):
                 node, at = np.ones(len(bins), np.int64), np.arange(len(bins))
                 for _ in range(level):
                     node = 2 * node + (bins[at, feature[c, node]] > cut[c, node])
-                out[c, 0] = histograms(bins, node, g[:, c], first, nodes, n_bins)
-                out[c, 1] = histograms(bins, node, h[:, c], first, nodes, n_bins)
+                out[c] = histograms(by_feature, node, (g[:, c].copy(), h[:, c].copy()), first, nodes, n_bins)
             return out.ravel()
 
         sums = rows.total(part, int(np.prod(shape))).reshape(shape)
