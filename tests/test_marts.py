@@ -197,3 +197,10 @@ def test_ranges_grow_with_the_files(spark, tmp_path, monkeypatch):
     with catalog.small_ranges(spark, str(tmp_path)):
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "500000b"
         assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() == 4
+
+
+def test_training_set_cleans_a_text_once(spark):
+    df = spark.createDataFrame([("Хорошо!", "positive")], "review string, sentiment string")
+    plan = reviews.training_set(df, "rureviews")._jdf.queryExecution().optimizedPlan().toString()
+    # Two patterns make a text clean; the test for blank texts must not have them again.
+    assert plan.count("regexp_replace(") == 2

@@ -15,6 +15,7 @@ from venuemart.lexicons import SCORE_LABELS
 from venuemart.ml import boosting, evaluate, features, labels, multinomial, train
 from venuemart.operators import ids
 from venuemart.plans import reviews
+from venuemart.session import stored
 
 # Components of the classifier's text features.
 COMPONENTS = 300
@@ -36,7 +37,8 @@ def tfidf_weights(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, int]:
-    rows = labelled_texts(spark, sf).withColumn("label", F.col("sentiment") + 1.0)
+    # The split reads the keys three times: texts are cleaned once and stored.
+    rows = stored(labelled_texts(spark, sf), "labelled").withColumn("label", F.col("sentiment") + 1.0)
     parts = ids.train_test_split(rows, "doc_id", 0.3, 17, ["sentiment"]).cache()
     training = parts.where("part = 'train'").drop("part")
     return training, parts.where("part = 'test'").drop("part"), training.count()

@@ -95,5 +95,7 @@ def training_set(labelled: DataFrame, dataset: str) -> DataFrame:
     if dataset not in SENTIMENT_LABELS:
         raise ValueError(f"unknown dataset {dataset!r}, expected one of {sorted(SENTIMENT_LABELS)}")
     label = map_values_of(F.col("sentiment").cast("string"), SENTIMENT_LABELS[dataset])
-    clean = labelled.withColumn("sentiment", label.cast("int")).withColumn("review", clean_text(F.col("review")))
+    # The test of the generated column does not clean the text once more, as that of a projected one would.
+    new = {"sentiment": label.cast("int"), "review": F.explode_outer(F.array(clean_text(F.col("review"))))}
+    clean = labelled.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in labelled.columns])
     return clean.where(not_blank(F.col("review")))
